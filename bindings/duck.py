@@ -66,7 +66,9 @@ def mask(col: str) -> str:
     t = sub(t, V.NATIONAL_ID, "[ssn-redacted]")
     t = sub(t, V.EMAIL, "[email-redacted]")
     core = r"(?:\+?\d{1,3}[-.\s]?)?(?:\(?\d{3}\)?[-.\s]?)\d{3}[-.\s]?\d{4}"
-    t = sub(t, rf"(^|[^0-9-]|[^0-9]-){core}($|[^0-9-]|-$|-[^0-9])", r"\1[phone-redacted]\2")
+    # twice: two numbers may share the character between them, and a match consumes it
+    for _ in range(2):
+        t = sub(t, rf"(^|[^0-9-]|[^0-9]-){core}($|[^0-9-]|-$|-[^0-9])", r"\1[phone-redacted]\2")
     t = f"replace({t}, '[cvv-redacted]', '[c#v-redacted]')"
     t = sub(t, r"\b(credit card|cvv|password|full card number)\b", "[redacted]", "gi")
     return f"replace({t}, '[c#v-redacted]', '[cvv-redacted]')"

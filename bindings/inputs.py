@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triagelake import brand_voice as B
 from triagelake import fixed_values as V
 from triagelake.functions.text import clean_for_query, seeded_key
 from triagelake.operators import labelling
 from triagelake.operators.intents import detect, detect_raw, hybrid
 from triagelake.operators.replies import with_cues, with_reply
 from triagelake.operators.triage import constant_baseline, keyword_baseline, with_triage
+from triagelake.sources.readers import spread
 
 MESSAGES = [
     "Where is my parcel, and when will it arrive?",
@@ -89,6 +91,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark, d) -> DataFrame:
+    """The long texts, over all slots."""
+    return spread(table(spark, d, "documents"), "doc_id")
+
+
 def _pick(values: list[str], index) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
@@ -220,24 +227,51 @@ def gold(spark, d) -> DataFrame:
     )
 
 
-def predictions(spark, d) -> dict[str, DataFrame]:
-    base = scored(spark, d)
-    keep = ["case_id", "intent", "decision", "reply", "intent_confidence"]
-    named = base.withColumnRenamed("msg_id", "case_id")
+KEEP = ["case_id", "intent", "decision", "reply", "intent_confidence"]
+
+
+def _keyword(spark, d) -> DataFrame:
+    """The scored inbox with the keyword baseline's answer in kw_* columns."""
+    base = scored(spark, d).withColumnRenamed("msg_id", "case_id")
     top = F.array_max("posterior")
     names = F.array(*[F.lit(i) for i in V.INTENTS])
-    kw = keyword_baseline(
-        named.withColumn("top_reply", F.when(F.col("similarity") > 0.05, F.col("past_reply"))), "text"
-    ).withColumn("intent", F.get(names, (F.array_position("posterior", top) - 1).cast("int"))).withColumn(
-        "intent_confidence", F.round(top, 4)
+    mine = ["intent", "decision", "escalation_category", "reason", "reply", "intent_confidence"]
+    kept = base.withColumn("top_reply", F.when(F.col("similarity") > 0.05, F.col("past_reply")))
+    for m in mine:
+        kept = kept.withColumnRenamed(m, f"own_{m}")
+    kw = keyword_baseline(kept, "text")
+    return (
+        kw.withColumn("intent", F.get(names, (F.array_position("posterior", top) - 1).cast("int")))
+        .withColumn("intent_confidence", F.round(top, 4))
     )
+
+
+def predictions(spark, d) -> dict[str, DataFrame]:
+    kw = _keyword(spark, d)
     return {
-        "constant": constant_baseline(named.select("case_id"), "our help team").select(*keep),
-        "keyword": kw.select(*keep),
-        "hybrid": named.select(*keep),
+        "constant": constant_baseline(kw.select("case_id"), "our help team").select(*KEEP),
+        "keyword": kw.select(*KEEP),
+        "hybrid": kw.select("case_id", *[F.col(f"own_{m}").alias(m) for m in KEEP[1:]]),
     }
 
 
+def stacked_predictions(spark, d) -> DataFrame:
+    """All three systems, one row each per message, out of a single scoring pass."""
+    kw = _keyword(spark, d)
+    names = ["pred_intent", "pred_decision", "reply", "intent_confidence"]
+
+    def answer(system, values):
+        return F.struct(F.lit(system).alias("system"), *[v.alias(n) for n, v in zip(names, values)])
+
+    fixed = [F.lit(V.INTENTS[0]), F.lit(V.AUTO), F.lit(B.CONSTANT_REPLY.replace("{brand}", "our help team")), F.lit(0.5)]
+    answers = F.array(
+        answer("constant", fixed),
+        answer("keyword", [F.col(m) for m in KEEP[1:]]),
+        answer("hybrid", [F.col(f"own_{m}") for m in KEEP[1:]]),
+    )
+    return kw.select("case_id", F.explode(answers).alias("a")).select("case_id", "a.*")
+
+
 def evaluation(spark, d) -> DataFrame:
     """Gold next to the predictions of all three systems."""
     from triagelake.operators import metrics
@@ -246,13 +280,7 @@ def evaluation(spark, d) -> DataFrame:
         "case_id", F.col("proposed_intent").alias("gold_intent"), F.col("proposed_triage").alias("gold_decision"),
         F.col("difficulty_tier").alias("tier"), "all_applicable_intents",
     )
-    p = metrics.stack_systems(
-        {
-            n: df.withColumnRenamed("intent", "pred_intent").withColumnRenamed("decision", "pred_decision")
-            for n, df in predictions(spark, d).items()
-        }
-    )
-    return metrics.align(g, p)
+    return metrics.align(g, stacked_predictions(spark, d))
 
 
 def doc_language(spark, d) -> DataFrame:
@@ -267,7 +295,7 @@ def doc_language(spark, d) -> DataFrame:
     guess = (
         F.when(is_english_strict(F.col("text")), "en").when(any_letter("üßäö"), "de").when(any_letter("ñóíáú"), "es").otherwise("fr")
     )
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", F.lit("guess").alias("system"), F.col("lang").alias("gold_intent"), guess.alias("pred_intent")
     )
 

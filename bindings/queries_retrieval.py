@@ -90,7 +90,7 @@ def case_evidence(spark, d):
     return hits.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity", F.md5("customer_text").alias("masked_digest"))
 
 
-@query("top1_similarity", D.with_(extra=_HITS) + """SELECT count(*) AS n_queries, round(avg(coalesce(similarity, 0)), 4) AS mean_top1_similarity
+@query("top1_similarity", D.with_(extra=_HITS) + """SELECT count(*) AS n_queries, round(sum(round(coalesce(similarity, 0) * 10000)::BIGINT)::DOUBLE / count(*)) / 10000 AS mean_top1_similarity
     FROM benchmark b LEFT JOIN hits h ON b.item_id = h.query_id AND h.rank = 1""")
 def top1_similarity(spark, d):
     return similar.mean_top1(_hits(spark, d, 1), I.table(spark, d, "benchmark"), "item_id")

@@ -29,7 +29,7 @@ def english_pairs(spark, d):
     {D.english('text', V.ENGLISH_WORDS_TOPICS, 25)} AS topic_english FROM documents""")
 def english_strict(spark, d):
     t = F.col("text")
-    return I.table(spark, d, "documents").select(
+    return I.documents(spark, d).select(
         "doc_id", X.is_english_strict(t).alias("strict_english"), X.is_english_topics(t).alias("topic_english")
     )
 
@@ -144,7 +144,7 @@ def token_variants(spark, d):
     def n(tokens):
         return F.size(tokens).cast("long")
 
-    return I.table(spark, d, "documents").select(
+    return I.documents(spark, d).select(
         "doc_id", n(X.whitespace_tokens(t)).alias("whitespace"), n(X.letter_tokens(t, 2)).alias("letters2"),
         n(X.letter_tokens(t, 3)).alias("letters3"), n(X.message_tokens(t)).alias("message"), n(X.term_tokens(t)).alias("terms"),
     )
@@ -219,14 +219,14 @@ _NORM = f"md5(lower({D.strip('line')}))"
     (SELECT {_NORM} AS digest, count(*) AS n_left FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> '' GROUP BY 1)
     JOIN (SELECT {_NORM} AS digest, count(*) AS n_right FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark) WHERE trim(line) <> '' GROUP BY 1) USING (digest)""")
 def leak_text(spark, d):
-    docs, bench = I.table(spark, d, "documents"), I.table(spark, d, "benchmark")
+    docs, bench = I.documents(spark, d), I.table(spark, d, "benchmark")
     return leakage.shared_texts(_paragraphs(docs, "text"), _paragraphs(bench, "text"), "line", "line")
 
 
 @query("leaked_rows", f"""SELECT doc_id FROM documents WHERE md5(lower({D.strip('text')})) IN (
     SELECT md5(lower({D.strip('text')})) FROM documents WHERE lang = 'en') AND lang = 'en'""")
 def leaked_rows(spark, d):
-    docs = I.table(spark, d, "documents")
+    docs = I.documents(spark, d)
     en = docs.where(F.col("lang") == "en").select("doc_id", "text")
     return leakage.leaked_rows(en, en, "text", "text").select("doc_id")
 
@@ -243,7 +243,7 @@ def label_coverage(spark, d):
 @query("pii_mask", D.with_("inbox") + f"""SELECT 'doc' || doc_id AS id, {D.mask('text')} AS masked FROM documents
     UNION ALL SELECT 'msg' || msg_id, {D.mask('text')} FROM inbox""")
 def pii_mask(spark, d):
-    docs = I.table(spark, d, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("id"), "text")
+    docs = I.documents(spark, d).select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("id"), "text")
     box = I.inbox(spark, d).select(F.concat(F.lit("msg"), "msg_id").alias("id"), "text")
     return docs.unionByName(box).select("id", pii.mask_pii(F.col("text")).alias("masked"))
 
@@ -256,9 +256,10 @@ _KINDS = [("card", "[card-redacted]"), ("cvv", "[cvv-redacted]"), ("ssn", "[ssn-
     UNION ALL SELECT 'inbox', {D.mask('text')} FROM inbox""")]) + "SELECT source, kind, count(*) AS n FROM (" + " UNION ALL ".join(
         f"SELECT source, '{k}' AS kind FROM m WHERE contains(t, {D.q(label)})" for k, label in _KINDS) + ") GROUP BY ALL")
 def pii_counts(spark, d):
-    docs = I.table(spark, d, "documents").select(F.lit("documents").alias("source"), "text")
+    docs = I.documents(spark, d).select(F.lit("documents").alias("source"), "text")
     box = I.inbox(spark, d).select(F.lit("inbox").alias("source"), "text")
-    kinds = docs.unionByName(box).select("source", F.explode(pii.pii_kinds(F.col("text"))).alias("kind"))
+    masked = docs.unionByName(box).select("source", pii.mask_pii(F.col("text")).alias("masked"))
+    kinds = masked.select("source", F.explode(pii.masked_kinds(F.col("masked"))).alias("kind"))
     return kinds.groupBy("source", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -41,9 +41,8 @@ def luhn_valid(digits: Column) -> Column:
     return digits.rlike(r"^\d+$") & (total % 10 == 0)
 
 
-def pii_kinds(col: Column) -> Column:
-    """array<string> of the kinds of personal data found in the text."""
+def masked_kinds(masked: Column) -> Column:
+    """array<string> of the kinds of personal data that ``mask_pii`` replaced in a text."""
     kinds = ["card", "cvv", "ssn", "email", "phone", "credential"]
-    masked = mask_pii(col)
     labels = [label for _, label in MASKS]
     return F.array_compact(F.array(*[F.when(masked.contains(m), F.lit(k)) for k, m in zip(kinds, labels)]))

@@ -53,8 +53,7 @@ def strip_negated(col: Column) -> Column:
 
 def whitespace_tokens(col: Column) -> Column:
     """Lowercased whitespace tokens."""
-    t = squeeze(F.lower(col))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    return F.filter(F.split(squeeze(F.lower(col)), " "), lambda w: w != "")
 
 
 def letter_tokens(col: Column, min_len: int) -> Column:

@@ -8,9 +8,11 @@ message table of any size is scored without Python workers.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -150,7 +152,7 @@ def _fit(train: DataFrame, c: float, max_iter: int, n_classes: int):
     for y, m in counts.items():
         weight = F.when(F.col("y") == y, F.lit(n / (len(counts) * m))).otherwise(weight)
     lr = LogisticRegression(
-        featuresCol="features", labelCol="y", weightCol="cw", family="multinomial", maxIter=max_iter, tol=1e-6,
+        featuresCol="features", labelCol="y", weightCol="cw", family="multinomial", maxIter=max_iter, tol=1e-5,
         regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
     )
     return lr.fit(train.withColumn("cw", weight))
@@ -180,16 +182,23 @@ def train(
     y = F.array_position(F.array(*[F.lit(x) for x in classes]), F.col("label")) - 1
     data = _vectors(weak, terms, counts, sublinear, size).withColumn("y", y.cast("double"))
     fold = F.conv(F.substring(seeded_key(seed, F.col("id")), 1, 8), 16, 10).cast("long") % folds
-    data = cut_lineage(data.withColumn("fold", fold.cast("int")), "training-vectors").persist()
-
-    coefs, intercepts, margins = [], [], []
-    for f in range(folds if calibrated else 1):
-        part = data.where(F.col("fold") != f) if calibrated else data
-        model = _fit(part, c, max_iter, k)
-        coefs.append(model.coefficientMatrix.toArray())
-        intercepts.append([float(v) for v in model.interceptVector.toArray()])
-        if calibrated:
-            raw = model.transform(data.where(F.col("fold") == f)).select("fold", "y", vector_to_array("rawPrediction").alias("m"))
+    data = cut_lineage(data.withColumn("fold", fold.cast("int")), "training-vectors")
+    # every optimizer step is one job over this table: few partitions, as long as it is small
+    data = data.coalesce(max(1, n_docs // 5000)).persist()
+
+    def fit_one(f: int):
+        return _fit(data.where(F.col("fold") != f) if calibrated else data, c, max_iter, k)
+
+    rounds = range(folds if calibrated else 1)
+    with ThreadPool(len(rounds)) as pool:  # independent Spark jobs; the session schedules them
+        models = pool.map(fit_one, rounds)
+    coefs = [m.coefficientMatrix.toArray() for m in models]
+    intercepts = [[float(v) for v in m.interceptVector.toArray()] for m in models]
+    margins = []
+    if calibrated:
+        for f, m in enumerate(models):
+            held_out = m.transform(data.where(F.col("fold") == f))
+            raw = held_out.select("fold", "y", vector_to_array("rawPrediction").alias("m"))
             margins.append(raw.select("fold", "y", F.posexplode("m").alias("cls", "margin")))
 
     sigmoids = None
@@ -210,8 +219,10 @@ def train(
     data.unpersist()
 
     table = np.concatenate(coefs, axis=0).T  # term x (fold * class)
-    by_index = spark.createDataFrame(
-        pd.DataFrame({"idx": np.arange(size, dtype="int32"), "coef": table.tolist()}), "idx int, coef array<double>"
+    width = table.shape[1]
+    coef = pa.ListArray.from_arrays(
+        pa.array(np.arange(0, size * width + 1, width, dtype="int32")), pa.array(np.ascontiguousarray(table).ravel())
     )
+    by_index = spark.createDataFrame(pa.table({"idx": pa.array(np.arange(size, dtype="int32")), "coef": coef}))
     final = cut_lineage(terms.join(by_index, "idx").select("term", "idf", "coef"), "classifier-terms")
     return IntentModel(classes, list(stop_words), sublinear, final, intercepts, sigmoids)

@@ -46,12 +46,6 @@ def accuracy(c: DataFrame, by: list[str] = ["system"]) -> DataFrame:
     return c.groupBy(*by).agg(F.sum("n").alias("count"), F.round(_ratio(hit, F.sum("n")), 4).alias("accuracy"))
 
 
-def label_dimension(df: DataFrame, labels: list[str]) -> DataFrame:
-    """The declared labels as a table (a fixed, short list)."""
-    spark = df.sparkSession
-    return spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
-
-
 def confusion(c: DataFrame, labels: list[str]) -> DataFrame:
     """(system, gold, predicted, n) with the zero cells of the declared label set kept."""
     names = F.array(*[F.lit(x) for x in labels])

@@ -28,15 +28,17 @@ def ngram_precision(df: DataFrame, key: str, hypothesis: str, reference: str, n:
     single exchange by key serves both aggregations and no join is needed.
     """
     sides = F.array(
-        F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), _grams(whitespace_tokens(F.col(hypothesis)), n).alias("g")),
-        F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), _grams(whitespace_tokens(F.col(reference)), n).alias("g")),
+        F.struct(F.lit(1).alias("h"), F.lit(0).alias("r"), F.col(hypothesis).alias("t")),
+        F.struct(F.lit(0).alias("h"), F.lit(1).alias("r"), F.col(reference).alias("t")),
     )
-    grams = (
+    # tokens are a column of their own, so that the n-gram lambda only indexes an array
+    tokens = (
         df.select(key, hypothesis, reference)
         .repartition(key)
         .select(key, F.explode(sides).alias("s"))
-        .select(key, "s.h", "s.r", F.explode_outer("s.g").alias("gram"))
+        .select(key, "s.h", "s.r", whitespace_tokens(F.col("s.t")).alias("w"))
     )
+    grams = tokens.select(key, "h", "r", F.explode_outer(_grams(F.col("w"), n)).alias("gram"))
     counts = grams.groupBy(key, "gram").agg(
         F.sum(F.when(F.col("gram").isNotNull(), F.col("h"))).alias("h"),
         F.sum(F.when(F.col("gram").isNotNull(), F.col("r"))).alias("r"),

@@ -11,6 +11,7 @@ from triagelake.functions.pii import mask_pii
 from triagelake.functions.rules import contains_any
 from triagelake.functions.text import has_order_number, html_escape
 from triagelake.operators.topn import carry_forward, top_n_per_group
+from triagelake.session import cut_lineage
 
 
 def asks_for_order(reply: Column) -> Column:
@@ -43,18 +44,19 @@ def apply_follow_ups(
     """
     c = F.col
     stateless = scored.where(c(session).isNull()).withColumn("multi_turn", F.lit(False)).withColumn("follow_up", F.lit(False))
-    known = scored.where(c(session).isNotNull())
-    before = F.struct(
-        asks_for_order(c("reply")).alias("asks"), c("intent").alias("intent"), c("escalation_category").alias("category")
-    )
-    prev = carry_forward(known, [session], turn, {"_prev": before}, chunk_rows)
-    cand = prev.withColumn("_cand", F.coalesce(c("_prev.asks") & has_order_number(c(message)), F.lit(False)))
-    numbered = _session_positions(cand, session, turn, chunk_rows)
-    last_non = carry_forward(numbered, [session], turn, {"_last_non": F.when(~c("_cand"), c("_pos"))}, chunk_rows)
-    distance = c("_pos") - c("_last_non")
-    out = last_non.withColumn("multi_turn", c("_prev").isNotNull()).withColumn(
-        "follow_up", c("_cand") & (F.pmod(distance, F.lit(2)) == 1)
+    # scored once; the passes below read only keys, flags and labels from the written table
+    known = cut_lineage(
+        scored.where(c(session).isNotNull())
+        .withColumn("_asks", asks_for_order(c("reply")))
+        .withColumn("_order", has_order_number(c(message))),
+        "scored-turns",
     )
+    narrow = known.select(session, turn, "_asks", "_order", c("intent").alias("_i"), c("escalation_category").alias("_c"))
+    before = F.struct(c("_asks").alias("asks"), c("_i").alias("intent"), c("_c").alias("category"))
+    prev = carry_forward(narrow, [session], turn, {"_prev": before}, chunk_rows)
+    cand = prev.select(session, turn, "_prev", F.coalesce(c("_prev.asks") & c("_order"), F.lit(False)).alias("_cand"))
+    marks = _alternate_candidates(cand, session, turn, chunk_rows)
+    out = known.join(marks, [session, turn]).withColumn("multi_turn", c("_prev").isNotNull())
     f = c("follow_up")
     changes = {
         "intent": c("_prev.intent"),
@@ -68,20 +70,30 @@ def apply_follow_ups(
         out = out.withColumn(name, F.when(f, value).otherwise(c(name)))
     if "evidence" in out.columns:
         out = out.withColumn("evidence", F.when(~f, c("evidence")))
-    return out.drop("_prev", "_cand", "_pos", "_last_non").unionByName(stateless)
+    return out.drop("_prev", "_asks", "_order").unionByName(stateless)
+
 
+def _alternate_candidates(cand: DataFrame, session: str, turn: str, chunk_rows: int) -> DataFrame:
+    """Add ``follow_up``: candidates at odd distance from the last non-candidate of their session.
 
-def _session_positions(df: DataFrame, session: str, turn: str, chunk_rows: int) -> DataFrame:
-    """Dense position of every row in its session: offset of its chunk plus rank inside it."""
-    chunked = df.withColumn("_ch", F.floor(F.col(turn) / F.lit(chunk_rows)))
-    sizes = chunked.groupBy(session, "_ch").agg(F.count(F.lit(1)).alias("_m"))
-    before = Window.partitionBy(session).orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(session, "_ch", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_off"))
+    Positions count from the start of the session: the chunk's offset plus the rank inside the
+    chunk; offsets and the last non-candidate before a chunk come from one row per chunk.
+    """
+    c = F.col
     inside = Window.partitionBy(session, "_ch").orderBy(turn)
-    return (
-        chunked.join(offsets, [session, "_ch"])
-        .withColumn("_pos", F.col("_off") + F.row_number().over(inside))
-        .drop("_ch", "_off")
+    local = (
+        cand.withColumn("_ch", F.floor(c(turn) / F.lit(chunk_rows)))
+        .withColumn("_r", F.row_number().over(inside))
+        .withColumn("_n", F.max(F.when(~c("_cand"), c("_r"))).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    per_chunk = local.groupBy(session, "_ch").agg(F.max("_r").alias("_m"), F.max("_n").alias("_x"))
+    earlier = Window.partitionBy(session).orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_chunk.withColumn("_off", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
+    offsets = offsets.withColumn("_before", F.last(c("_off") + c("_x"), ignorenulls=True).over(earlier))
+    placed = local.join(offsets.select(session, "_ch", "_off", "_before"), [session, "_ch"])
+    distance = c("_off") + c("_r") - F.coalesce(c("_off") + c("_n"), c("_before"))
+    return placed.withColumn("follow_up", c("_cand") & (F.pmod(distance, F.lit(2)) == 1)).select(
+        session, turn, "_prev", "follow_up"
     )
 
 

@@ -16,7 +16,7 @@ from triagelake.operators.leakage import assert_disjoint
 from triagelake.operators.overlap import lexical_scores
 from triagelake.operators.replies import solicits_credentials, with_cues, with_reply
 from triagelake.operators.sampling import holdout_split, stratified_cases
-from triagelake.operators.similar import TermIndex, evidence, top_k, with_case_texts
+from triagelake.operators.similar import TermIndex, best_cases, evidence, with_case_texts
 from triagelake.operators.topn import keep_first
 from triagelake.operators.turns import strict_turns, threads_from_transcripts
 from triagelake.session import cut_lineage
@@ -68,6 +68,7 @@ class Desk:
     kb: DataFrame  # conversation_id, customer_text, support_reply
     index_stop_words: list[str]
     voice: B.Voice = B.Voice()
+    hot_df: int = 20_000
 
 
 def score_messages(df: DataFrame, desk: Desk, id_col: str = "case_id", text_col: str = "text", k: int = 2) -> DataFrame:
@@ -75,7 +76,7 @@ def score_messages(df: DataFrame, desk: Desk, id_col: str = "case_id", text_col:
     base = df.withColumn("_clean", clean_for_query(F.col(text_col)))
     found = desk.model.classify(base, id_col, "_clean")
     queries = desk.index.vectors(base, id_col, "_clean", desk.index_stop_words)
-    hits = with_case_texts(top_k(queries, desk.index, k), desk.kb, "conversation_id", "customer_text", "support_reply")
+    hits = with_case_texts(best_cases(queries, desk.index, k, desk.hot_df), desk.kb, "conversation_id", "customer_text", "support_reply")
     best = evidence(hits).withColumnRenamed("query_id", id_col)
     decided = triage.with_triage(found.join(best, id_col, "left"), "_clean")
     replied = with_reply(with_cues(decided), "_clean", desk.voice)
@@ -89,7 +90,7 @@ def keyword_baseline(df: DataFrame, desk: Desk, model: IntentModel, id_col="case
     """Uncalibrated model, one keyword pattern, and the best past reply as it is."""
     scored = with_top_class(model.posteriors(df, id_col, text_col), model.classes)
     queries = desk.index.vectors(df, id_col, text_col, desk.index_stop_words)
-    hits = with_case_texts(top_k(queries, desk.index, 1), desk.kb, "conversation_id", "customer_text", "support_reply")
+    hits = with_case_texts(best_cases(queries, desk.index, 1, desk.hot_df), desk.kb, "conversation_id", "customer_text", "support_reply")
     top = hits.select(F.col("query_id").alias(id_col), F.col("support_reply").alias("top_reply"))
     out = triage.keyword_baseline(scored.join(top, id_col, "left"), text_col)
     return out.withColumn("intent", F.col("model_intent")).withColumn("intent_confidence", F.round("model_confidence", 4))

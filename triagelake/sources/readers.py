@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from triagelake import schemas as S
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all slots on a source that has fewer splits than the session has slots.
+
+    One small file is one split, which would run all text work in a single task.  Large
+    sources have plenty of splits and pass through untouched.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
+
+
 def conversations(spark: SparkSession, path: str, brand: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Conversation-grain parquet, optionally one brand (pushed down) and some columns."""
     df = spark.read.parquet(path)

@@ -121,13 +121,17 @@ def inbox_of(turns: DataFrame) -> DataFrame:
     )
 
 
+def turn_rows(spark, d) -> DataFrame:
+    return spread(table(spark, d, "conversations"), "conv_id")
+
+
 def inbox(spark, d) -> DataFrame:
-    return inbox_of(table(spark, d, "conversations"))
+    return inbox_of(turn_rows(spark, d))
 
 
 def messages(spark, d) -> DataFrame:
     """Message-grain graph: every turn answers the turn before it."""
-    t = with_keys(table(spark, d, "conversations")).where(F.col("role") != "system")
+    t = with_keys(turn_rows(spark, d)).where(F.col("role") != "system")
     handle = F.concat(F.lit(" @"), F.upper("brand"))
     text = F.when(F.col("role") == "user", F.concat(message_text(), F.when(F.col("turn") % 2 == 0, handle).otherwise(F.lit(""))))
     return t.select(

@@ -223,12 +223,13 @@ def leak_text(spark, d):
     return leakage.shared_texts(_paragraphs(docs, "text"), _paragraphs(bench, "text"), "line", "line")
 
 
-@query("leaked_rows", f"""SELECT doc_id FROM documents WHERE md5(lower({D.strip('text')})) IN (
-    SELECT md5(lower({D.strip('text')})) FROM documents WHERE lang = 'en') AND lang = 'en'""")
+@query("leaked_rows", f"""SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE trim(line) <> '' AND {_NORM} IN (SELECT {_NORM} FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark)
+      WHERE trim(line) <> '') GROUP BY 1""")
 def leaked_rows(spark, d):
-    docs = I.documents(spark, d)
-    en = docs.where(F.col("lang") == "en").select("doc_id", "text")
-    return leakage.leaked_rows(en, en, "text", "text").select("doc_id")
+    docs = I.documents(spark, d).select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.trim("line") != "")
+    bench = _paragraphs(I.table(spark, d, "benchmark"), "text")
+    return leakage.leaked_rows(docs, bench, "line", "line").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("label_coverage", """SELECT * FROM (SELECT label, 'missing' AS problem FROM (VALUES ('en'), ('fr'), ('it'), ('es')) v(label) WHERE label NOT IN (SELECT lang FROM documents)

@@ -20,6 +20,15 @@ def test_top_n_of_a_hot_group(spark):
         assert [r["k"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["rank"])] == want
 
 
+@pytest.mark.parametrize("n", [5, 1200])
+def test_limits_are_cut_in_the_map_tasks(spark, n):
+    df = spark.range(0, 5000, 1, 5).select("id", (F.col("id") % 2).alias("g"))
+    out = topn.top_n_per_group(df, ["g"], [F.col("id")], n)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("FileScan")[0] and "Partial" in plan
+    assert out.count() == 2 * n and out.agg(F.max("id")).collect()[0][0] == 2 * n - 1
+
+
 def test_keep_first(frame):
     df = frame("id long, t string", (3, "a"), (1, "b"), (2, "a"), (5, "b"), (4, "c"))
     assert sorted(r["id"] for r in topn.keep_first(df, "t", "id").collect()) == [1, 2, 4]

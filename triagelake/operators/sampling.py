@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from triagelake import fixed_values as V
 from triagelake.functions.text import seeded_key
 from triagelake.operators.topn import top_n_per_group
+from triagelake.session import cut_lineage
 
 
 def holdout_split(df: DataFrame, id_col: str, size: int = V.HOLDOUT_SIZE, seed: int = V.SEED) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +48,10 @@ def stratified_cases(
     hundred rows whatever the size of the table is.
     """
     normal, difficult = quotas["normal"], quotas["difficult"]
-    keyed = pooled.select(id_col, "pool", F.length(text).alias("_len"), seeded_key(seed, F.col(id_col)).alias("_k"))
+    # the pools come from many patterns: match them once and rank a narrow written table
+    keyed = cut_lineage(
+        pooled.select(id_col, "pool", F.length(text).alias("_len"), seeded_key(seed, F.col(id_col)).alias("_k")), "pools"
+    )
     enough = max(normal + difficult, difficult, quotas["adversarial"])
     ranked = top_n_per_group(keyed, ["pool"], [F.col("_k"), F.col(id_col)], enough)
 

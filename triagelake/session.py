@@ -31,7 +31,7 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local session without one gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from bindings import duck as D
@@ -11,7 +13,7 @@ from triagelake import fixed_values as V
 from triagelake.operators import intent_model as M
 from triagelake.operators import labelling, similar, vectors
 from triagelake.plans import jobs
-from triagelake.session import cut_lineage, scratch_path
+from triagelake.session import cut_lineage, scratch_path, shared_folder
 from triagelake.sources import snapshots
 
 _N = "SELECT count(*) FROM documents"
@@ -61,9 +63,6 @@ def _hits(spark, d, k=3):
     return similar.top_k(_queries(spark, d, index), index, k)
 
 
-_HIT_COLS = ["query_id", F.col, "doc_id", "similarity"]
-
-
 def _shown(hits):
     return hits.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "similarity")
 
@@ -125,7 +124,9 @@ def intent_model(spark, d):
 
 
 def calibrated_model(spark, d):
-    return M.train(weak_rows(spark, d), vectors.classifier_stop_words())
+    """Trained once per application and data folder, then read from its snapshot."""
+    root = f"{shared_folder(spark)}/models-{spark.sparkContext.applicationId}/{os.path.basename(d.rstrip('/'))}"
+    return snapshots.intent_model(spark, root, lambda: M.train(weak_rows(spark, d), vectors.classifier_stop_words()))
 
 
 @query("intent_calibrated")

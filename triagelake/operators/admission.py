@@ -22,6 +22,14 @@ def admit_one(stamps: deque, now: int, limit: int, window: int) -> bool:
     return True
 
 
+def micros(df: DataFrame, ts: str):
+    """Microseconds of a time column; wall-clock types do not pass through the session time zone."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        since = F.expr(f"cast(`{ts}` - timestamp_ntz'1970-01-01 00:00:00' as interval second)")
+        return (since.cast("decimal(20,6)") * 1_000_000).cast("long")
+    return F.unix_micros(F.col(ts))
+
+
 def admission_log(
     events: DataFrame,
     key: str,
@@ -41,7 +49,7 @@ def admission_log(
     """
     window = window_seconds * 1_000_000
     e = events.select(
-        F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(ts).alias("ts"), F.unix_micros(F.col(ts).cast("timestamp")).alias("t")
+        F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(ts).alias("ts"), micros(events, ts).alias("t")
     ).withColumn("bin", F.floor(F.col("t") / F.lit(window)))
 
     in_key = Window.partitionBy("key").orderBy("bin")

@@ -26,12 +26,14 @@ def flat_for_csv(df: DataFrame) -> DataFrame:
     )
 
 
+# doubled quotes and kept blanks: any text survives a round trip
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes are doubled so that any text survives a round trip."""
-    flat_for_csv(df).write.mode("overwrite").option("header", True).option("escape", '"').option(
-        "quoteAll", True
-    ).csv(path)
+    """CSV with a header; nested columns as JSON texts."""
+    flat_for_csv(df).write.mode("overwrite").options(**_CSV).option("quoteAll", True).csv(path)
 
 
 def read_csv(spark, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(**_CSV).option("multiLine", True).csv(path)

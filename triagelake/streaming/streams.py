@@ -15,7 +15,7 @@ from triagelake import brand_voice as B
 from triagelake import fixed_values as V
 from triagelake.functions.text import has_order_number, html_escape
 from triagelake.functions.pii import mask_pii
-from triagelake.operators.admission import admit_one
+from triagelake.operators.admission import admit_one, micros
 from triagelake.operators.sessions import asks_for_order
 from triagelake.operators.triage import with_triage
 from triagelake.session import scratch_path
@@ -43,7 +43,8 @@ def chat_stream(scored: DataFrame, max_turns: int = V.SESSION_TURNS, idle: str |
 
     ``scored`` has session_id, turn, message, intent, intent_confidence, decision,
     escalation_category, reason and reply.  All text work happens before the exchange; the
-    Python step compares flags and appends to an array of at most ``max_turns``.
+    Python step compares flags and appends to an array of at most ``max_turns``.  Rows without a
+    session are stateless: they go through ``triage_stream`` and are not part of this output.
     With ``idle`` (a duration) sessions without traffic are dropped.
     """
     rows = scored.where(F.col("session_id").isNotNull()).select(
@@ -90,7 +91,11 @@ def chat_stream(scored: DataFrame, max_turns: int = V.SESSION_TURNS, idle: str |
 
 
 def _in_order(batches: Iterator[pd.DataFrame], order: str) -> Iterator[pd.DataFrame]:
-    """The rows one key received in one trigger, ordered.  The trigger size bounds them."""
+    """The rows one key received in one trigger, ordered.
+
+    Spark hands over a key's batches in any order, so they are sorted here; the trigger
+    size (``maxFilesPerTrigger`` and the like) bounds them.
+    """
     parts = [p for p in batches if len(p)]
     if parts:
         yield pd.concat(parts).sort_values(order, kind="stable")
@@ -132,7 +137,7 @@ def admission_stream(
     window = window_seconds * 1_000_000
     rows = events.select(
         F.col(key).cast("string").alias("key"), F.col(id_col).cast("long").alias("id"),
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("t"),
+        micros(events, ts).alias("t"),
     )
 
     def step(k, batches, state: GroupState):

@@ -51,6 +51,23 @@ def follow_ups(spark, d):
     return sessions.apply_follow_ups(_session_rows(I.scored(spark, d)), chunk_rows=3).select(*_CHAT_COLS)
 
 
+_SENT = f"{D.strings(I.REPLIES)}[(conv_id*5 + turn) % {len(I.REPLIES)} + 1]"
+_FOLLOWS = f"(turn % 4 <> 0 AND {D.contains_any(f'lower({_SENT})', V.FOLLOW_UP_CUES)} AND {D.rx('text', V.ORDER_NUMBER)})"
+
+
+@query("client_history", D.with_("scored") + f"""SELECT msg_id, {_FOLLOWS} AS follow_up, turn % 4 <> 0 AS multi_turn,
+    CASE WHEN {_FOLLOWS} THEN CASE WHEN conv_id % 2 = 0 THEN 'REFUND_RETURN_EXCHANGE' ELSE 'DELIVERY_STATUS_DELAY' END ELSE intent END AS intent,
+    CASE WHEN {_FOLLOWS} THEN CASE WHEN conv_id % 2 = 0 THEN 0.5::DOUBLE ELSE 0.95::DOUBLE END ELSE intent_confidence END AS intent_confidence,
+    CASE WHEN {_FOLLOWS} THEN 'ACCOUNT_SPECIFIC_PII_REQUIRED' ELSE escalation_category END AS escalation_category FROM scored""")
+def client_history(spark, d):
+    reply = I._pick(I.REPLIES, F.col("conv_id") * 5 + F.col("turn"))
+    full = F.create_map(F.lit("agent_reply"), reply, F.lit("intent"), F.lit("REFUND_RETURN_EXCHANGE"), F.lit("intent_confidence"), F.lit("0.5"))
+    bare = F.create_map(F.lit("agent_reply"), reply)
+    history = F.when(F.col("turn") % 4 != 0, F.array(F.when(F.col("conv_id") % 2 == 0, full).otherwise(bare)))
+    out = sessions.apply_client_history(I.scored(spark, d).withColumn("history", history), message="text")
+    return out.select("msg_id", "follow_up", "multi_turn", "intent", "intent_confidence", "escalation_category")
+
+
 @query("session_tail", D.with_("inbox") + """SELECT conv_id, turn, age FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS age FROM inbox) WHERE age <= 3""")
 def session_tail(spark, d):
     out = sessions.last_turns(I.inbox(spark, d), "conv_id", "turn", 3)

@@ -69,6 +69,19 @@ def test_message_scoring(spark, desk):
         assert r["reply"] and "{" not in r["reply"]
 
 
+def test_stream_scoring_equals_batch_scoring(spark, desk):
+    from triagelake.streaming import streams
+
+    msgs = desk.kb.select(F.col("conversation_id").alias("case_id"), F.col("customer_text").alias("text")).orderBy("case_id").limit(12)
+    path = scratch_path(spark, "msgs")
+    msgs.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(msgs.schema).parquet(path)
+    out = streams.run_updates_to_table(stream, "scored", transform=lambda b: jobs.score_messages(b, desk))
+    cols = ["case_id", "intent", "intent_confidence", "decision", "escalation_category", "reply", "top_similarity"]
+    got = sorted(tuple(r) for r in out.select(*cols).collect())
+    assert got == sorted(tuple(r) for r in jobs.score_messages(msgs, desk).select(*cols).collect()) and len(got) == 12
+
+
 def test_posteriors_sum_to_one(spark, desk):
     df = desk.model.posteriors(desk.kb, "conversation_id", "customer_text")
     for r in df.select("posterior").collect():

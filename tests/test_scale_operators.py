@@ -86,6 +86,24 @@ def test_follow_ups_match_a_turn_by_turn_walk(spark, chunk):
             assert r["intent_confidence"] == V.FOLLOW_UP_CONFIDENCE and r["decision"] == "ESCALATE"
 
 
+def test_sent_history_decides_follow_ups(spark):
+    order = "Order # 112-9876543-1234567"
+    ask = {"agent_reply": "Please send us a direct message with your order number", "intent": "DAMAGED_WRONG_MISSING",
+           "escalation_category": "LOST_OR_STOLEN_DELIVERY"}
+    rows = [(order, [{"agent_reply": "x"}, ask]), (order, [ask, {"agent_reply": "x"}]), ("hi", [ask]), (order, []), (order, None),
+            (order, [{"agent_reply": "your order number?", "intent_confidence": "0.61238"}])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, message string, history array<map<string,string>>").select(
+        "*", F.lit("I").alias("intent"), F.lit(0.7).alias("intent_confidence"), F.lit("AUTO_HANDLE").alias("decision"),
+        F.lit("NONE").alias("escalation_category"), F.lit("r").alias("reason"), F.lit("reply").alias("reply"),
+    )
+    got = sessions.apply_client_history(df).orderBy("i").collect()
+    assert [r["follow_up"] for r in got] == [True, False, False, False, False, True]
+    assert [r["multi_turn"] for r in got] == [True, True, True, False, False, True]
+    assert (got[0]["intent"], got[0]["escalation_category"], got[0]["intent_confidence"]) == ("DAMAGED_WRONG_MISSING", "LOST_OR_STOLEN_DELIVERY", 0.95)
+    assert (got[5]["intent"], got[5]["escalation_category"], got[5]["intent_confidence"]) == ("DELIVERY_STATUS_DELAY", "ACCOUNT_SPECIFIC_PII_REQUIRED", 0.6124)
+    assert got[1]["intent"] == "I" and "received your information" in got[0]["reply"]
+
+
 def test_session_bounds(spark):
     df = spark.range(15).select(
         F.lit("s").alias("session_id"), F.col("id").alias("turn"), F.concat(F.lit("<b>"), F.col("id").cast("string")).alias("message"),

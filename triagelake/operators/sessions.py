@@ -97,6 +97,38 @@ def _alternate_candidates(cand: DataFrame, session: str, turn: str, chunk_rows:
     )
 
 
+def apply_client_history(scored: DataFrame, history: str = "history", message: str = "message") -> DataFrame:
+    """The follow-up rule for requests that bring their own history (array of string maps).
+
+    A sent history replaces the stored one, so the rule is row-local.  Labels missing in its last
+    turn get fixed defaults; rows without history keep their outcome.
+    """
+    c = F.col
+    size = F.coalesce(F.size(history), F.lit(0))
+    out = scored.withColumn("_last", F.when(size > 0, F.element_at(history, F.when(size > 0, -1).otherwise(1))))
+
+    def sent(name: str) -> Column:
+        return F.get(F.map_values(F.map_filter("_last", lambda k, _: k == name)), F.lit(0))
+
+    asked = asks_for_order(F.coalesce(sent("agent_reply"), F.lit("")))
+    out = out.withColumn("follow_up", F.coalesce((size > 0) & asked & has_order_number(c(message)), F.lit(False)))
+    f = c("follow_up")
+    confidence = F.coalesce(sent("intent_confidence").try_cast("double"), F.lit(V.FOLLOW_UP_CONFIDENCE))
+    changes = {
+        "intent": F.coalesce(sent("intent"), F.lit("DELIVERY_STATUS_DELAY")),
+        "intent_confidence": F.round(confidence, 4),
+        "decision": F.lit(V.ESCALATE),
+        "escalation_category": F.coalesce(sent("escalation_category"), F.lit("ACCOUNT_SPECIFIC_PII_REQUIRED")),
+        "reason": F.lit(B.POLICY_REASONS["follow_up"]),
+        "reply": F.lit(B.FOLLOW_UP_REPLY),
+    }
+    for name, value in changes.items():
+        out = out.withColumn(name, F.when(f, value).otherwise(c(name)))
+    if "evidence" in out.columns:
+        out = out.withColumn("evidence", F.when(~f, c("evidence")))
+    return out.withColumn("multi_turn", size > 0).drop("_last")
+
+
 def last_turns(df: DataFrame, session="session_id", turn="turn", n: int = V.SESSION_TURNS) -> DataFrame:
     """The n latest turns of every session; ``age`` 1 is the newest."""
     return top_n_per_group(df.where(F.col(session).isNotNull()), [session], [F.desc(turn)], n, rank="age")

@@ -4,7 +4,7 @@ needs history (sessions, admission) keeps keyed state."""
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -170,14 +170,21 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def run_updates_to_table(stream: DataFrame, name: str, mode: str = "update") -> DataFrame:
-    """As ``run_to_table`` for update or complete mode: one batch-numbered partition per trigger."""
+def run_updates_to_table(
+    stream: DataFrame, name: str, mode: str = "update", transform: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """As ``run_to_table`` for update or complete mode: one batch-numbered partition per trigger.
+
+    ``transform`` is any batch function, for example end-to-end scoring, which joins and
+    aggregates inside one trigger and therefore needs no stream state.
+    """
     spark = stream.sparkSession
     path = scratch_path(spark, name)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         # overwriting one partition per batch makes a replayed trigger harmless
-        batch.write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+        rows = batch if transform is None else transform(batch)
+        rows.write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
 
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(save)

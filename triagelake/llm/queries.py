@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import decontaminate, language, mixing, secrets, shingle_join
+from triagelake.llm import decontaminate, language, licences, mixing, quality, secrets, shingle_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,42 @@ FROM w LEFT JOIN n USING (doc_id)
 def op3_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shingle_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model, keep=["doc_id"]).select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality_p")
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+OP9_SQL = rf"""
+WITH notice(licence, t) AS (VALUES {', '.join(f'({_quoted(k)}, {_quoted(v)})' for k, v in sorted(licences.NOTICES.items()))}),
+parts AS (
+  SELECT DISTINCT doc_id, a, b, substr(text, a, b - a) AS t FROM (
+    SELECT doc_id, text, unnest(list_concat(
+      [{{'a': 1::BIGINT, 'b': 1 + len(text)}}],
+      list_transform(range(1, len(p) + 1), lambda i: {{'a': 1 + coalesce(CAST(list_sum(list_transform(p[1 : i - 1], lambda x: len(x) + 2)) AS BIGINT), 0), 'b': 1 + coalesce(CAST(list_sum(list_transform(p[1 : i - 1], lambda x: len(x) + 2)) AS BIGINT), 0) + len(p[i])}}),
+      list_transform(range(1, len(l) + 1), lambda i: {{'a': 1 + coalesce(CAST(list_sum(list_transform(l[1 : i - 1], lambda x: len(x) + 1)) AS BIGINT), 0), 'b': 1 + coalesce(CAST(list_sum(list_transform(l[1 : i - 1], lambda x: len(x) + 1)) AS BIGINT), 0) + len(l[i])}})
+    ), recursive := true) FROM (SELECT doc_id, text, string_split(text, chr(10) || chr(10)) AS p, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+words AS (
+  SELECT doc_id, a, b, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM parts),
+grams AS (SELECT DISTINCT doc_id, a, b, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, a, b, w, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1)),
+size AS (SELECT doc_id, a, b, count(*) AS n FROM grams GROUP BY ALL),
+nw AS (SELECT licence, regexp_extract_all(lower(t), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM notice),
+ng AS (SELECT DISTINCT licence, w[i] || ' ' || w[i + 1] AS g FROM (SELECT licence, w, unnest(range(1, len(w))) AS i FROM nw)),
+ns AS (SELECT licence, count(*) AS n FROM ng GROUP BY licence),
+scored AS (
+  SELECT doc_id, licence, 2.0::DOUBLE * count(*) / (any_value(size.n) + any_value(ns.n)) AS dice
+  FROM grams JOIN ng USING (g) JOIN size USING (doc_id, a, b) JOIN ns USING (licence) GROUP BY doc_id, a, b, licence)
+SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_parts FROM scored WHERE dice >= 0.75 GROUP BY doc_id, licence
+"""
+
+
+@query("op9_licence_notices", OP9_SQL)
+def op9_licence_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))

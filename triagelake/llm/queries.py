@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import decontaminate, language, licences, mixing, quality, secrets, shingle_join
+from triagelake.llm import decontaminate, language, licences, mixing, quality, secrets, shingle_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +183,9 @@ SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_parts FROM scored WHERE
 @query("op9_licence_notices", OP9_SQL)
 def op9_licence_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import decontaminate, language, licences, mixing, quality, secrets, shingle_join, suffix_dedup
+from triagelake.llm import decontaminate, language, licences, mixing, pii, quality, secrets, shingle_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,23 @@ def op9_licence_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs), keep=["doc_id"])
+    order = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def listed(spans):
+        numbered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("no"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        return F.array_join(F.transform(numbered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id", *[_count_of(k) for k in pii.KINDS], F.sha2(listed(F.col("pii_base")), 256).alias("base_sha256"), listed(F.concat("pii_base", "pii_added")).alias("spans"),
+        F.size("pii_added").cast("long").alias("n_added"),
+    )
+
+
+def _count_of(kind: str):
+    return F.size(F.filter("pii_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

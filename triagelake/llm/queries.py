@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import decontaminate, language, licences, mixing, pii, quality, secrets, shingle_join, suffix_dedup
+from triagelake.llm import decontaminate, language, licences, mixing, pages, pii, quality, secrets, shingle_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,8 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _count_of(kind: str):
     return F.size(F.filter("pii_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("op5_page_text")
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])

@@ -329,3 +329,19 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         plain("doc").alias(key), F.col("size").alias("n_shingles"), F.when(component != -(2**63), component).alias("component_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def keep_representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs without near duplicates: of each component the one row with the smallest key.
+
+    Rows without words are duplicates of nothing and stay.  Of repeated rows of the smallest key one stays.  Null keys
+    count as one key before all others.
+    """
+    found = cut_lineage(near_duplicates(docs, key=key, text=text, n=n, percent=percent), "classes")
+    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept"), (F.col("n_shingles") > 0).alias("_worded")).distinct()
+    worded = F.coalesce(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.join(kept, docs[key].eqNullSafe(F.col("_kept")) & (F.col("_worded") == worded), "left_semi")
+    if not found.where("n_shingles > 0").groupBy(key).count().where("count > 1").head(1):
+        return rows  # texts need not be dealt again where no key is repeated
+    own = F.when(F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1)
+    return rows.withColumn("_own", own).dropDuplicates([key, "_own"]).select(*docs.columns)

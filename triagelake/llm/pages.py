@@ -38,6 +38,8 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 def _named_boilerplate(attrs: dict[str, str | None]) -> bool:
+    if not attrs:
+        return False
     if "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or (attrs.get("role") or "").lower() in ROLES:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", (attrs.get("style") or "").lower()):

@@ -114,7 +114,10 @@ def _sets(text: str, key: str, n: int):
     def run(batches):
         for batch in batches:
             hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(np.diff(at)), pa.array(signed(set_keys(hashes, at)))], names=["doc", "size", "sid"])
+            sketches = [sketch(hashes[at[d] : at[d + 1]]) for d in range(len(at) - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(np.diff(at)), pa.array(signed(set_keys(hashes, at))), pa.array(sketches, pa.binary())], names=["doc", "size", "sid", "sketch"]
+            )
 
     return run
 
@@ -228,24 +231,22 @@ def _rest_pairs(percent: int):
 
 
 def _set_rows(text: str, n: int, fragments: int):
-    """(sid, size, fragment, its hashes) of each set of a batch; fragment -1 holds the sketch."""
+    """(sid, fragment, its hashes) of each set of a batch."""
     def run(batches):
         for batch in batches:
             hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
             one = set_keys(hashes, at)
             sid = signed(one)
-            out = {"sid": [], "size": [], "fragment": [], "grams": []}
+            out = {"sid": [], "fragment": [], "grams": []}
             for d in range(len(at) - 1):
                 own = hashes[at[d] : at[d + 1]]
                 cuts = np.searchsorted(own >> np.uint64(62), np.arange(fragments + 1, dtype=np.uint64) * np.uint64(4 // fragments))
-                for f in range(-1, fragments):
-                    part = sketch(own) if f < 0 else own[cuts[f] : cuts[f + 1]].tobytes()
-                    if part:
+                for f in range(fragments):
+                    if cuts[f + 1] > cuts[f]:
                         out["sid"].append(int(sid[d]))
-                        out["size"].append(len(own))
                         out["fragment"].append(f)
-                        out["grams"].append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(out["sid"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["fragment"], pa.int32()), pa.array(out["grams"], pa.binary())], names=list(out))
+                        out["grams"].append(own[cuts[f] : cuts[f + 1]].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out["sid"], pa.int64()), pa.array(out["fragment"], pa.int32()), pa.array(out["grams"], pa.binary())], names=list(out))
 
     return run
 
@@ -269,16 +270,18 @@ def _overlap(batches):
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "za", "zb", "fragment")], pa.array(n, pa.int64())], names=["a", "b", "za", "zb", "fragment", "n"])
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that reach the similarity, counted fragment by fragment."""
-    sketches = rows.where("fragment = -1")
+def _linked(pairs: DataFrame, members: DataFrame, given: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the similarity, counted fragment by fragment.  Only sets that pass their sketches are built again."""
     near = (
-        pairs.join(sketches.select(F.col("sid").alias("a"), F.col("size").alias("za"), F.col("grams").alias("ka")), "a")
-        .join(sketches.select(F.col("sid").alias("b"), F.col("size").alias("zb"), F.col("grams").alias("kb")), "b")
+        pairs.join(members.select(F.col("sid").alias("a"), F.col("size").alias("za"), F.col("sketch").alias("ka")), "a")
+        .join(members.select(F.col("sid").alias("b"), F.col("size").alias("zb"), F.col("sketch").alias("kb")), "b")
         .mapInArrow(_pass_sketch(percent), "a long, b long, za int, zb int")
     )
     near = cut_lineage(near, "near")
-    parts = rows.where("fragment >= 0")
+    wanted = near.select(F.col("a").alias("sid")).union(near.select("b")).distinct().join(members, "sid").select("doc")
+    wanted = cut_lineage(wanted.distinct(), "wanted")
+    # a key may be that of several rows: their sets are told apart again by their digests
+    parts = cut_lineage(given.join(wanted, "doc", "left_semi").select("text").mapInArrow(_set_rows("text", n, FRAGMENTS), "sid long, fragment int, grams binary"), "grams")
     counted = (
         near.join(parts.select(F.col("sid").alias("a"), "fragment", F.col("grams").alias("ga")), "a")
         .join(parts.select(F.col("sid").alias("b"), "fragment", F.col("grams").alias("gb")), ["b", "fragment"])
@@ -299,27 +302,23 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     An empty table gives an empty result; other columns of docs are not read.
     """
     given = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text).alias("text"))
-    sets = cut_lineage(given.mapInArrow(_sets("text", "doc", n), "doc long, size long, sid long"), "sets")
+    sets = cut_lineage(given.mapInArrow(_sets("text", "doc", n), "doc long, size long, sid long, sketch binary"), "sets")
     dealt = given.select("text").mapInArrow(_prefixes("text", n, percent), "gram long, sid long, size int").repartition("gram")
     shared = cut_lineage(dealt.mapInArrow(_shared, "gram long, sid long, size int"), "shared")
     first = cut_lineage(shared.repartition("gram").mapInArrow(_hub_pairs(percent), "a long, b long").distinct(), "pairs")
-    members = sets.where("size > 0").groupBy("sid").agg(F.min("doc").alias("rep"))
-    wanted = shared.select("sid").distinct().join(members, "sid").select(F.col("rep").alias("doc"))
-    # a key may be that of several rows: their sets are told apart again by their digests
-    rows = given.join(wanted.distinct(), "doc", "left_semi").select("text").mapInArrow(_set_rows("text", n, FRAGMENTS), "sid long, size int, fragment int, grams binary")
-    rows = cut_lineage(rows, "grams")
-    links = _linked(first, rows, percent)
+    members = cut_lineage(sets.where("size > 0").groupBy("sid").agg(F.min(F.struct("doc", "size", "sketch")).alias("m")).select("sid", "m.doc", F.col("m.size").cast("int").alias("size"), "m.sketch"), "members")
+    links = _linked(first, members, given, n, percent)
     labels = components(links)
     labelled = shared.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     mixed = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    sketches = rows.where("fragment = -1").select("sid", F.col("grams").alias("sketch"))
+    sketches = members.select("sid", "sketch")
     rest = labelled.join(mixed, "gram", "left_semi").join(sketches, "sid").repartition("gram").mapInArrow(_rest_pairs(percent), "a long, b long").distinct()
     rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "rest")
-    more = _linked(rest, rows, percent)
+    more = _linked(rest, members, given, n, percent)
     every = links.unionByName(more)
     final = cut_lineage(components(every).toDF("sid", "label"), "labels")
     degree = every.select("a", "b").union(every.select("b", "a")).groupBy(F.col("a").alias("sid")).agg(F.count("*").alias("links"))
-    named = members.join(final, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    named = members.select("sid", F.col("doc").alias("rep")).join(final, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component"))
     by_set = named.join(smallest, "label").join(degree, "sid", "left").select("sid", "component", F.coalesce("links", F.lit(0)).alias("links"))
     out = sets.join(by_set, "sid", "left")

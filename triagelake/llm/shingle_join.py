@@ -1,6 +1,8 @@
 """Jaccard join on word n-grams by vertical partitioning.
 
-The global order of n-grams is the order of their 64-bit hashes.
+The global order of n-grams is the order of their 64-bit hashes, with very common ones last.  Any order gives the same
+links; this one keeps common n-grams out of most prefixes.  Common is what at least one document in 500 of some Arrow batch
+has; at most MOST_COMMON such n-grams (the commonest) are sent to the tasks.
 
 * Equal sets are one class; only classes are joined.
 * Candidates: two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 n-grams of either.  These
@@ -26,6 +28,7 @@ N = 5
 PERCENT = 80
 FRAGMENTS = 4
 HUBS = 3
+MOST_COMMON = 1 << 18
 BLOCK = 1024
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -69,8 +72,8 @@ def set_keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _cuts(size: int) -> int:
-    """Number of cuts of a set's sketch: a power of two, about one for every 8 to 16 n-grams."""
-    return 1 << max(4, int(size).bit_length() - 4)
+    """Number of cuts of a set's sketch: a power of two, about one for every 4 to 8 n-grams."""
+    return 1 << max(4, int(size).bit_length() - 3)
 
 
 def sketch(hashes: np.ndarray) -> bytes:
@@ -114,9 +117,16 @@ def _sets(text: str, key: str, n: int):
     def run(batches):
         for batch in batches:
             hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
+            values, counts = np.unique(hashes, return_counts=True)
+            often = counts >= max(8, batch.num_rows // 500)
+            common = [[] for _ in range(batch.num_rows)]
+            if batch.num_rows:
+                common[0] = [{"gram": g, "n": n} for g, n in zip(signed(values[often]).tolist(), counts[often].tolist())]
             sketches = [sketch(hashes[at[d] : at[d + 1]]) for d in range(len(at) - 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(np.diff(at)), pa.array(signed(set_keys(hashes, at))), pa.array(sketches, pa.binary())], names=["doc", "size", "sid", "sketch"]
+                [batch.column(key), pa.array(np.diff(at)), pa.array(signed(set_keys(hashes, at))), pa.array(sketches, pa.binary()),
+                 pa.array(common, pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())])))],
+                names=["doc", "size", "sid", "sketch", "common"],
             )
 
     return run
@@ -127,13 +137,25 @@ def _first_of_each(one: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.sort(first[sizes[first] > 0])
 
 
-def _prefixes(text: str, n: int, percent: int):
+def _common_last(hashes: np.ndarray, at: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The sets with their common n-grams moved behind the others."""
+    if not len(common):
+        return hashes
+    where = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+    last = common[where] == hashes
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return hashes[np.argsort(2 * doc + last, kind="stable")]
+
+
+def _prefixes(text: str, n: int, percent: int, shared):
     def run(batches):
+        common = shared.value
         for batch in batches:
             hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
             sizes = np.diff(at)
             one = set_keys(hashes, at)
             own = _first_of_each(one, sizes)  # copies inside a batch are dealt once
+            hashes = _common_last(hashes, at, common)
             many = sizes[own] - (percent * sizes[own] + 99) // 100 + 1
             rows = np.repeat(at[own] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(own) else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -209,11 +231,15 @@ def _rest_pairs(percent: int):
                 continue
             z, lab, ids = size[own].astype(np.int64), label[own], sid[own]
             raw = [np.frombuffer(sketches[int(k)].as_py(), dtype=np.uint8).astype(np.int32) for k in own]
-            cuts = min(len(r) for r in raw)
+            cuts = np.array([len(r) for r in raw])
             free = np.array([r.max() >= 255 for r in raw])
-            flat = np.stack([r.reshape(cuts, -1).sum(axis=1) for r in raw])
-            wide = max(1, BLOCK * 64 // cuts)
+            now, flat, head = 0, None, 0
             for i in range(len(own)):
+                if cuts[i] != now:  # cuts ascend with sizes; partners behind have as many or twice as many
+                    now, head = cuts[i], i
+                    tail = int(np.searchsorted(cuts, 2 * now, side="right"))
+                    flat = np.stack([r.reshape(now, -1).sum(axis=1) for r in raw[i:tail]])
+                    wide = max(1, BLOCK * 64 // now)
                 # sizes ascend: partners behind i end where the size bound ends
                 last = int(np.searchsorted(z, 100 * z[i] // percent, side="right"))
                 for at in range(i + 1, last, wide):
@@ -221,7 +247,7 @@ def _rest_pairs(percent: int):
                     other = np.flatnonzero(lab[at:to] != lab[i]) + at
                     if not len(other):
                         continue
-                    apart = np.abs(flat[other] - flat[i]).sum(axis=1)
+                    apart = np.abs(flat[other - head] - flat[i - head]).sum(axis=1)
                     ok = other[free[other] | free[i] | (apart * (100 + percent) <= (z[other] + z[i]) * (100 - percent))]
                     seen.update((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))) for j in ok)
         pairs = np.array(sorted(seen), dtype=np.int64).reshape(-1, 2)
@@ -302,8 +328,11 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     An empty table gives an empty result; other columns of docs are not read.
     """
     given = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text).alias("text"))
-    sets = cut_lineage(given.mapInArrow(_sets("text", "doc", n), "doc long, size long, sid long, sketch binary"), "sets")
-    dealt = given.select("text").mapInArrow(_prefixes("text", n, percent), "gram long, sid long, size int").repartition("gram")
+    sets = cut_lineage(given.mapInArrow(_sets("text", "doc", n), "doc long, size long, sid long, sketch binary, common array<struct<gram:long,n:long>>"), "sets")
+    often = sets.select(F.explode("common").alias("c")).groupBy("c.gram").agg(F.sum("c.n").alias("n")).orderBy(F.desc("n"), "gram").limit(MOST_COMMON)
+    common = np.sort(np.array([r["gram"] for r in often.select("gram").collect()], dtype=np.int64).view(np.uint64))
+    shared_common = docs.sparkSession.sparkContext.broadcast(common)
+    dealt = given.select("text").mapInArrow(_prefixes("text", n, percent, shared_common), "gram long, sid long, size int").repartition("gram")
     shared = cut_lineage(dealt.mapInArrow(_shared, "gram long, sid long, size int"), "shared")
     first = cut_lineage(shared.repartition("gram").mapInArrow(_hub_pairs(percent), "a long, b long").distinct(), "pairs")
     members = cut_lineage(sets.where("size > 0").groupBy("sid").agg(F.min(F.struct("doc", "size", "sketch")).alias("m")).select("sid", "m.doc", F.col("m.size").cast("int").alias("size"), "m.sketch"), "members")

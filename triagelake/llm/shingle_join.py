@@ -8,6 +8,10 @@ has; at most MOST_COMMON such n-grams (the commonest) are sent to the tasks.
 * Candidates: two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 n-grams of either.  These
   prefixes are dealt by n-gram; a bucket's sets are compared with three hubs of the bucket, and after the links so found
   only sets of different components are compared with each other, block by block inside a task.
+* Sets that still have a possible partner in another component are looked at together: an n-gram that only one of them has
+  adds to its difference from every other, which bounds pairs far more tightly in large groups of edited copies.  The
+  member with fewest such n-grams is the next hub; only what it leaves unlinked is compared pair by pair.
+  There the parities of finely dealt n-gram counts bound the difference almost exactly.
 * A sketch (counts of n-grams in equal cuts of the order) bounds the difference of two sets from below, so most candidates
   end there.  Counts come from the whole sets and never drop a linked pair.
 * Overlap: the order is cut into FRAGMENTS, each pair's overlap is counted in every fragment separately and summed.
@@ -82,6 +86,12 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.minimum(at, 255).astype(np.uint8).tobytes()
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """Parities of the counts of n-grams in 8 to 16 cells for each n-gram.  Two sets differ by at least the differing parities."""
+    cells = 1 << (3 + len(hashes).bit_length())
+    return np.packbits((np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
 def _folded(sketches: np.ndarray, cuts: int) -> np.ndarray:
     """A sketch with fewer cuts; sums of capped counts stay lower bounds only where none is capped."""
     return sketches.reshape(len(sketches), cuts, -1).sum(axis=2)
@@ -213,45 +223,104 @@ def _hub_pairs(percent: int):
     return run
 
 
+def _buckets(batches):
+    """A partition's rows as columns, with the rows of each bucket that has several components, by size."""
+    got = [pa.Table.from_batches([b]) for b in batches]
+    if not got:
+        return
+    rows = pa.concat_tables(got).combine_chunks()
+    gram, sid, size, label, alone = (rows.column(c).to_numpy() for c in ("gram", "sid", "size", "label", "alone"))
+    sketches = rows.column("sketch")
+    order = np.lexsort((sid, size, gram))
+    bounds = np.flatnonzero(np.concatenate([[True], gram[order][1:] != gram[order][:-1]])) if len(gram) else np.zeros(0, dtype=np.int64)
+    for s, e in zip(bounds.tolist(), [*bounds[1:].tolist(), len(gram)]):
+        own = order[s:e]
+        if e - s > 1 and not (label[own] == label[own[0]]).all():
+            yield sid[own], size[own].astype(np.int64), label[own], alone[own].astype(np.int64), [np.frombuffer(sketches[int(k)].as_py(), dtype=np.uint8) for k in own]
+
+
+def _possible(ids, z, label, alone, raw, percent, exact):
+    """(row, later rows) of one bucket that sizes, sketches (exact: parities) and lone n-grams allow to link and that are of different components."""
+    cuts = np.array([len(r) for r in raw])
+    free = np.array([not exact and r.max() >= 255 for r in raw])  # capped counts prove nothing
+    now, flat, head, wide = 0, None, 0, 1
+    for i in range(len(ids)):
+        if cuts[i] != now:  # cuts ascend with sizes; partners behind have as many or twice as many
+            now, head = cuts[i], i
+            tail = int(np.searchsorted(cuts, 2 * now, side="right"))
+            if exact:  # the low bits of a hash choose the cell, so halves fold onto each other
+                flat = np.stack([np.bitwise_xor.reduce(r.reshape(-1, now), axis=0) for r in raw[i:tail]]).view(np.uint64)
+            else:
+                flat = np.stack([r.reshape(now, -1).astype(np.int32).sum(axis=1) for r in raw[i:tail]])
+            wide = max(1, BLOCK * 64 // now)
+        last = int(np.searchsorted(z, 100 * z[i] // percent, side="right"))
+        for at in range(i + 1, last, wide):
+            to = min(last, at + wide)
+            most = (z[at:to] + z[i]) * (100 - percent)
+            other = np.flatnonzero((label[at:to] != label[i]) & ((alone[at:to] + alone[i]) * (100 + percent) <= most)) + at
+            if len(other):
+                if exact:
+                    apart = np.bitwise_count(flat[other - head] ^ flat[i - head]).sum(axis=1, dtype=np.int64)
+                else:
+                    apart = np.abs(flat[other - head] - flat[i - head]).sum(axis=1)
+                ok = other[free[other] | free[i] | (apart * (100 + percent) <= (z[other] + z[i]) * (100 - percent))]
+                if len(ok):
+                    yield i, ok
+
+
+def _pair_batch(a, b):
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.zeros((0, 2), dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _open_sets(percent: int):
+    """Sets with a possible partner in another component."""
+    def run(batches):
+        found: set[int] = set()
+        for ids, z, label, alone, raw in _buckets(batches):
+            for i, ok in _possible(ids, z, label, alone, raw, percent, False):
+                found.add(int(ids[i]))
+                found.update(ids[ok].tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["sid"])
+
+    return run
+
+
+def _lone_hub_pairs(percent: int):
+    """Each bucket's set with fewest lone n-grams, with the sets of other components."""
+    def run(batches):
+        a, b = [], []
+        for ids, z, label, alone, _ in _buckets(batches):
+            hub = np.lexsort((ids, alone))[0]
+            most = (z + z[hub]) * (100 - percent)
+            fits = (label != label[hub]) & (100 * np.minimum(z, z[hub]) >= percent * np.maximum(z, z[hub])) & ((alone + alone[hub]) * (100 + percent) <= most)
+            a.append(np.full(int(fits.sum()), ids[hub]))
+            b.append(ids[fits])
+        none = np.zeros(0, dtype=np.int64)
+        yield _pair_batch(np.concatenate([none, *a]), np.concatenate([none, *b]))
+
+    return run
+
+
 def _rest_pairs(percent: int):
-    """Pairs of sets of different components in a bucket, whose sketches allow a link; blocks bound the work arrays."""
+    """Pairs of sets of different components that may link; blocks bound the work arrays."""
     def run(batches):
-        got = [pa.Table.from_batches([b]) for b in batches]
-        if not got:
-            return
-        rows = pa.concat_tables(got).combine_chunks()
-        gram, sid, size, label = (rows.column(c).to_numpy() for c in ("gram", "sid", "size", "label"))
-        sketches = rows.column("sketch")
-        order = np.lexsort((size, gram))
-        bounds = np.flatnonzero(np.concatenate([[True], gram[order][1:] != gram[order][:-1]])) if len(gram) else np.zeros(0, dtype=np.int64)
-        seen: set[tuple[int, int]] = set()
-        for s, e in zip(bounds.tolist(), [*bounds[1:].tolist(), len(gram)]):
-            own = order[s:e]
-            if e - s < 2 or (label[own] == label[own[0]]).all():
-                continue
-            z, lab, ids = size[own].astype(np.int64), label[own], sid[own]
-            raw = [np.frombuffer(sketches[int(k)].as_py(), dtype=np.uint8).astype(np.int32) for k in own]
-            cuts = np.array([len(r) for r in raw])
-            free = np.array([r.max() >= 255 for r in raw])
-            now, flat, head = 0, None, 0
-            for i in range(len(own)):
-                if cuts[i] != now:  # cuts ascend with sizes; partners behind have as many or twice as many
-                    now, head = cuts[i], i
-                    tail = int(np.searchsorted(cuts, 2 * now, side="right"))
-                    flat = np.stack([r.reshape(now, -1).sum(axis=1) for r in raw[i:tail]])
-                    wide = max(1, BLOCK * 64 // now)
-                # sizes ascend: partners behind i end where the size bound ends
-                last = int(np.searchsorted(z, 100 * z[i] // percent, side="right"))
-                for at in range(i + 1, last, wide):
-                    to = min(last, at + wide)
-                    other = np.flatnonzero(lab[at:to] != lab[i]) + at
-                    if not len(other):
-                        continue
-                    apart = np.abs(flat[other - head] - flat[i - head]).sum(axis=1)
-                    ok = other[free[other] | free[i] | (apart * (100 + percent) <= (z[other] + z[i]) * (100 - percent))]
-                    seen.update((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))) for j in ok)
-        pairs = np.array(sorted(seen), dtype=np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        a, b = [], []
+        for ids, z, label, alone, raw in _buckets(batches):
+            for i, ok in _possible(ids, z, label, alone, raw, percent, True):
+                a.append(np.full(len(ok), ids[i]))
+                b.append(ids[ok])
+        none = np.zeros(0, dtype=np.int64)
+        yield _pair_batch(np.concatenate([none, *a]), np.concatenate([none, *b]))
+
+    return run
+
+
+def _grams_of(text: str, n: int):
+    def run(batches):
+        for batch in batches:
+            hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(np.repeat(signed(set_keys(hashes, at)), np.diff(at)))], names=["gram", "sid"])
 
     return run
 
@@ -277,6 +346,16 @@ def _set_rows(text: str, n: int, fragments: int):
     return run
 
 
+def _parities(text: str, n: int):
+    def run(batches):
+        for batch in batches:
+            hashes, at = shingle_sets(*text_bytes(batch.column(text)), n)
+            cells = [parity(hashes[at[d] : at[d + 1]]) for d in range(len(at) - 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(set_keys(hashes, at))), pa.array(cells, pa.binary())], names=["sid", "sketch"])
+
+    return run
+
+
 def _pass_sketch(percent: int):
     def run(batches):
         for batch in batches:
@@ -319,6 +398,13 @@ def _linked(pairs: DataFrame, members: DataFrame, given: DataFrame, n: int, perc
     return cut_lineage(counted.where(F.col("n") * 100 >= percent * (F.col("za") + F.col("zb") - F.col("n"))).select("a", "b"), "links")
 
 
+def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bucket rows with their component, of buckets with several components."""
+    labelled = rows.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    several = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
+    return labelled.join(several, "gram", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id, n_links): one row per row of docs, every link between different texts counted in.
 
@@ -338,13 +424,28 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     members = cut_lineage(sets.where("size > 0").groupBy("sid").agg(F.min(F.struct("doc", "size", "sketch")).alias("m")).select("sid", "m.doc", F.col("m.size").cast("int").alias("size"), "m.sketch"), "members")
     links = _linked(first, members, given, n, percent)
     labels = components(links)
-    labelled = shared.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    mixed = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    sketches = members.select("sid", "sketch")
-    rest = labelled.join(mixed, "gram", "left_semi").join(sketches, "sid").repartition("gram").mapInArrow(_rest_pairs(percent), "a long, b long").distinct()
-    rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "rest")
-    more = _linked(rest, members, given, n, percent)
-    every = links.unionByName(more)
+    dealt_rows = "gram", "sid", "size", "label", "alone", "sketch"
+    mixed = _mixed(shared, labels).join(members.select("sid", "sketch"), "sid").withColumn("alone", F.lit(0).cast("long")).select(*dealt_rows)
+    opened = cut_lineage(mixed.repartition("gram").mapInArrow(_open_sets(percent), "sid long").distinct(), "open")
+    open_docs = cut_lineage(opened.join(members, "sid").select("doc").distinct(), "wanted")
+    open_texts = cut_lineage(given.join(open_docs, "doc", "left_semi").select("text"), "opentexts")
+    grams = open_texts.mapInArrow(_grams_of("text", n), "gram long, sid long").join(opened, "sid", "left_semi")
+    parities = open_texts.mapInArrow(_parities("text", n), "sid long, sketch binary").groupBy("sid").agg(F.min("sketch").alias("sketch"))
+    lone = grams.groupBy("gram").agg(F.min("sid").alias("sid"), F.max("sid").alias("other")).where("sid = other").groupBy("sid").agg(F.count("*").alias("alone"))
+    linkable = cut_lineage(
+        members.drop("sketch").join(opened, "sid", "left_semi").join(parities, "sid").join(lone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0).cast("long")))
+        .where(F.col("alone") * percent <= F.col("size") * (100 - percent)).select("sid", "sketch", "alone"),
+        "linkable",
+    )
+    left = cut_lineage(shared.join(linkable.select("sid"), "sid", "left_semi"), "left")
+    round2 = _mixed(left, labels).join(linkable, "sid").select(*dealt_rows)
+    second = cut_lineage(round2.repartition("gram").mapInArrow(_lone_hub_pairs(percent), "a long, b long").distinct().join(first, ["a", "b"], "left_anti"), "second")
+    links = links.unionByName(_linked(second, members, given, n, percent))
+    labels = components(links)
+    round3 = _mixed(left, labels).join(linkable, "sid").select(*dealt_rows)
+    rest = round3.repartition("gram").mapInArrow(_rest_pairs(percent), "a long, b long").distinct()
+    rest = cut_lineage(rest.join(first.unionByName(second), ["a", "b"], "left_anti"), "rest")
+    every = links.unionByName(_linked(rest, members, given, n, percent))
     final = cut_lineage(components(every).toDF("sid", "label"), "labels")
     degree = every.select("a", "b").union(every.select("b", "a")).groupBy(F.col("a").alias("sid")).agg(F.count("*").alias("links"))
     named = members.select("sid", F.col("doc").alias("rep")).join(final, "sid", "left").withColumn("label", F.coalesce("label", "sid"))

@@ -87,8 +87,8 @@ def sketch(hashes: np.ndarray) -> bytes:
 
 
 def parity(hashes: np.ndarray) -> bytes:
-    """Parities of the counts of n-grams in 8 to 16 cells for each n-gram.  Two sets differ by at least the differing parities."""
-    cells = 1 << (3 + len(hashes).bit_length())
+    """Parities of the counts of n-grams in 2 to 4 cells for each n-gram.  Two sets differ by at least the differing parities."""
+    cells = 1 << max(6, 1 + len(hashes).bit_length())
     return np.packbits((np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
 
 

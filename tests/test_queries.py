@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bindings import registry
 from bindings.check import TABLES, rows_of
 from tests.conftest import SF
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -101,7 +101,7 @@ def test_sent_history_decides_follow_ups(spark):
     assert [r["multi_turn"] for r in got] == [True, True, True, False, False, True]
     assert (got[0]["intent"], got[0]["escalation_category"], got[0]["intent_confidence"]) == ("DAMAGED_WRONG_MISSING", "LOST_OR_STOLEN_DELIVERY", 0.95)
     assert (got[5]["intent"], got[5]["escalation_category"], got[5]["intent_confidence"]) == ("DELIVERY_STATUS_DELAY", "ACCOUNT_SPECIFIC_PII_REQUIRED", 0.6124)
-    assert got[1]["intent"] == "I" and "received your information" in got[0]["reply"]
+    assert got[1]["intent"] == "I" and "the number is with the specialist" in got[0]["reply"]
 
 
 def test_session_bounds(spark):
@@ -283,3 +283,33 @@ def test_streaming_rows_are_ordered_inside_a_trigger():
     parts = [pd.DataFrame({"t": [3, 1]}), pd.DataFrame({"t": []}), pd.DataFrame({"t": [2]})]
     assert [list(p["t"]) for p in streams._in_order(iter(parts), "t")] == [[1, 2, 3]]
     assert list(streams._in_order(iter([]), "t")) == []
+
+
+def test_keep_first_keeps_one_row_of_repeated_ids(frame):
+    from triagelake.operators.topn import keep_first
+
+    df = frame("id long, text string", (1, "a"), (1, "a"), (2, "a"), (3, "b"), (None, "c"), (None, "c"), (4, None))
+    assert sorted((r.text or "", r.id or 0) for r in keep_first(df, "text", "id").collect()) == [("", 4), ("a", 1), ("b", 3), ("c", 0)]
+
+
+def test_hybrid_reports_the_top_probability_for_an_unknown_class(frame):
+    from pyspark.sql import functions as F
+
+    from triagelake import fixed_values as V
+    from triagelake.operators.intents import hybrid
+
+    classes = [i for i in V.INTENTS if i != V.SECURITY_INTENT]
+    df = frame("detected array<string>, posterior array<double>", ([V.SECURITY_INTENT], [0.7] + [0.05] * (len(classes) - 1)))
+    got = df.select(hybrid(F.col("detected"), F.col("posterior"), classes).alias("h")).head().h
+    assert got.intent == V.SECURITY_INTENT and got.confidence == 0.7
+
+
+def test_audit_returns_a_brand_that_is_only_mentioned(frame):
+    from triagelake.operators import reply_graph
+
+    df = frame(
+        "message_id string, parent_id string, author_id string, inbound boolean, text string, response_id string",
+        ("1", None, "c1", True, "hello there @ghost please answer", None), ("2", None, "c2", True, "question for @brand now", "3"), ("3", "2", "brand", False, "a reply", None),
+    )
+    got = {r.author_id: r for r in reply_graph.audit(df, ["brand", "ghost"]).collect()}
+    assert got["ghost"].outbound_messages == 0 and got["ghost"].usable_pairs == 0 and got["brand"].outbound_messages == 1

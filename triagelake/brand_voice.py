@@ -33,67 +33,61 @@ POLICY_REASONS = {
     "error": "The message could not be processed; a person takes over.",
 }
 
-NEIGHBOUR_HINT = "In the meantime it can help to look around your property and to ask the neighbors. "
+NEIGHBOUR_HINT = "Parcels are sometimes handed to neighbors or put in a quiet spot on the property, so a quick look is worth it. "
 DEFAULT_CARRIER = "the carrier"
 
+# Each reply says what happens next, then what the customer should do.  The words that the rubric counts (direct message,
+# specialist, secure, [link], ...) appear where they carry the meaning.
 ESCALATION_REPLIES = {
     "AMBIGUOUS_INQUIRY_NEEDS_CLARIFICATION":
-        "We would like to get this right for you. Please send us a few more details by direct message at [link], "
-        "and a support specialist will assist you from there. {signature}",
+        "A support specialist is ready to assist, one thing is missing: what happened, and when? A direct message via [link] "
+        "is the place for it. {signature}",
     "LOST_OR_STOLEN_DELIVERY":
-        "I'm sorry your package is not where it should be! {neighbour}Please keep order details off this public page. "
-        "Send us a direct message with your order number through our secure link [link], so that we can "
-        "investigate with {carrier}. {signature}",
+        "That parcel should have reached you, sorry. {neighbour}Our specialist will investigate the trail with {carrier}; for that "
+        "we need the order number by direct message over the secure form [link], never in a public post. {signature}",
     "ACCOUNT_SECURITY_RISK":
-        "Thanks for letting us know, the security of your account comes first. Please never post your password or payment "
-        "data in public, reset your password now, and reach an account specialist through our "
-        "secure portal: [link]. {signature}",
+        "Step one: reset your password. Step two: tell an account specialist at the secure portal [link] what you noticed. "
+        "Neither passwords nor payment data belong in a public post. {signature}",
     "FINANCIAL_OR_BILLING_DISPUTE":
-        "I understand how worrying an unexpected charge on a statement is. These details are private, so please send us "
-        "a DM or use our secure page [link], and an account specialist will go through it with you. {signature}",
+        "Every charge can be traced, and we understand that this one needs an answer. An account specialist will walk through it "
+        "with you; open the conversation on our secure page [link] or by DM. {signature}",
     "DAMAGED_PHYSICAL_MERCHANDISE":
-        "I'm so sorry your order arrived damaged! Please send us your order number in a direct message via [link], "
-        "and a specialist will investigate and set up a replacement or refund. {signature}",
+        "Sorry, goods should not arrive like that. With the order number (direct message, [link]) a specialist will investigate "
+        "and arrange whichever you prefer, replacement or refund. {signature}",
     "ACCOUNT_SPECIFIC_PII_REQUIRED":
-        "To protect you, please delete the personal or payment details you posted in public. We never ask for "
-        "credentials here. An account specialist can assist you privately through our verified portal at [link]. {signature}",
+        "Your post shows private details: deleting it is the safest thing to do now. An account specialist can assist through the "
+        "verified portal [link], where nobody will ask for credentials. {signature}",
 }
 HUMAN_REPLY = (
-    "I understand you would like to speak with a representative, and we are happy to help! Please send us a direct message "
-    "at [link] and a specialist will look at your account with you. {signature}"
+    "A person it is! One specialist takes over from here and will look at everything in one go; the direct message line is "
+    "[link]. {signature}"
 )
 APOLOGY_REPLY = (
-    "I'm very sorry, this has been a frustrating experience and not what we aim for. Please send us a direct message at "
-    "[link] so that a representative can review your account and put this right. {signature}"
+    "You deserved better, and we are sorry. A representative with the right to decide will review the case as soon as a direct "
+    "message from you arrives: [link]. {signature}"
 )
 AUTO_REPLIES = {
     "DELIVERY_STATUS_DELAY":
-        "Sorry your delivery is behind schedule! You can track the parcel and see the latest estimate in your account "
-        "under Your Orders: [link]. {signature}",
+        "Late parcels are annoying, sorry! Where it is and when it is due can be seen live: open [link], choose the order, then "
+        "track. {signature}",
     "REFUND_RETURN_EXCHANGE":
-        "A return or replacement takes only a moment: visit 'Your Orders' at [link], select the items and print the "
-        "prepaid return label. {signature}",
+        "Returns run without waiting for us: open the orders page [link], select what goes back, and print the label; postage is "
+        "paid. {signature}",
     "ORDER_CHANGE_CANCEL":
-        "As long as the order is not in the shipping process, you can cancel it or edit the address: visit 'Your Orders' at "
-        "[link] and click 'Cancel items' or 'Change'. {signature}",
+        "Until an order ships it is yours to change or cancel: open it at [link] and click the matching button. {signature}",
     "TECHNICAL_PRODUCT_SUPPORT":
-        "Sorry about the glitch! Please restart the device, check for app updates and clear the app cache. You will find "
-        "troubleshooting guides, step by step, here: [link]. {signature}",
+        "Three things solve most glitches, step by step: restart, update the app, empty its cache. Still stuck? The guides at "
+        "[link] go deeper. {signature}",
 }
-FEEDBACK_REPLY = (
-    "Thank you for your feedback, it helps us improve. If we can assist with an open order, just tell us! {signature}"
-)
+FEEDBACK_REPLY = "Good to hear from you, thank you! Should an order ever need a hand, we can assist right here. {signature}"
 FOLLOW_UP_REPLY = (
-    "Thank you, a specialist has received your information and is looking into it. For your security please delete public "
-    "posts that show the order id; we will update you in private. ^CS"
-)
-CONSTANT_REPLY = (
-    "Hello from {brand}! Please see your orders page for the status of an order and for self-service help. "
-    "Tell us if you need anything else! ^CS"
+    "Got it: the number is with the specialist who handles your case, and the answer comes in private. For your security, take "
+    "down any public post that shows it. ^CS"
 )
-KEYWORD_DEFAULT_REPLY = "Hello! Please check your account or contact us for help. ^CS"
-ERROR_REPLY = "We have a technical problem right now and are connecting you to a support specialist. ^CS"
-SOLICIT_REPLACEMENT = "please connect privately via our secure link [link]"
+CONSTANT_REPLY = "{brand} here, hello! Order status and self-service are one click away on the orders page. ^CS"
+KEYWORD_DEFAULT_REPLY = "Thanks for writing! The account page answers most questions, and our team answers the rest. ^CS"
+ERROR_REPLY = "Our system stumbled over this message, so a support specialist reads it next. ^CS"
+SOLICIT_REPLACEMENT = "use the private channel at [link] instead"
 
 PROPOSAL_REASONS = {
     "DAMAGED_WRONG_MISSING": "Defects, missing contents and lost parcels need a carrier check and approval.",

@@ -40,12 +40,18 @@ def hybrid(detected: Column, posterior: Column, classes: list[str]) -> Column:
     """struct<intent,confidence> from detected labels and a posterior array.
 
     Nothing detected: the model's top class.  Security detected: security.  Otherwise
-    the detected label with the highest posterior, the earlier one on a tie.
+    the detected label with the highest posterior, the earlier one on a tie.  A class that the model has not learnt
+    counts 0 among several detected ones and is reported with the model's top probability.
     """
     names = F.array(*[F.lit(c) for c in classes])
 
+    def known(label: Column) -> Column:
+        """The label's probability, null for a class that the model has not learnt."""
+        at = F.array_position(names, label)
+        return F.when(at > 0, F.get(posterior, (at - 1).cast("int")))
+
     def prob(label: Column) -> Column:
-        return F.coalesce(F.get(posterior, (F.array_position(names, label) - 1).cast("int")), F.lit(0.0))
+        return F.coalesce(known(label), F.lit(0.0))
 
     top = F.array_max(posterior)
     top_label = F.get(names, (F.array_position(posterior, top) - 1).cast("int"))
@@ -58,8 +64,8 @@ def hybrid(detected: Column, posterior: Column, classes: list[str]) -> Column:
     )
     confidence = (
         F.when(F.size(detected) == 0, top)
-        .when(F.array_contains(detected, V.SECURITY_INTENT), prob(F.lit(V.SECURITY_INTENT)))
-        .otherwise(best["p"])
+        .when(F.array_contains(detected, V.SECURITY_INTENT), F.coalesce(known(F.lit(V.SECURITY_INTENT)), top))
+        .otherwise(F.coalesce(known(best["label"]), top))
     )
     return F.struct(label.alias("intent"), F.round(confidence, 4).alias("confidence"))
 

@@ -91,7 +91,7 @@ def pair_samples(pairs: DataFrame, per_brand: int = 5) -> DataFrame:
 
 
 def audit(messages: DataFrame, brands: list[str], sample: int | None = None, per_brand: int = 5) -> DataFrame:
-    """One row per listed brand with all measures of the reply graph.
+    """One row per listed brand with all measures of the reply graph; measures without data are 0, samples then null.
 
     ``sample`` keeps the first mentions per brand for the token measures; None uses all.
     """
@@ -104,7 +104,7 @@ def audit(messages: DataFrame, brands: list[str], sample: int | None = None, per
     samples = pair_samples(pairs, per_brand).groupBy("author_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "customer_text", "reply_text"))).alias("sample_pairs")
     )
-    out = volume
-    for part in (reach(messages, brands), reply_rates(pairs), mention_measures(mentioned), samples):
+    out = messages.sparkSession.createDataFrame([(b,) for b in dict.fromkeys(brands)], "author_id string")
+    for part in (volume, reach(messages, brands), reply_rates(pairs), mention_measures(mentioned), samples):
         out = out.join(part, "author_id", "left")
-    return out
+    return out.na.fill(0)

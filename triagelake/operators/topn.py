@@ -41,19 +41,17 @@ def top_n_per_group(
 
 
 def keep_first(df: DataFrame, text: str, id_col: str) -> DataFrame:
-    """One row per distinct text, the one with the smallest id.
+    """One row per distinct text, the one with the smallest id; of rows that share text and id, one.
 
-    The minimum id per text digest is pre-aggregated before the shuffle, so a text
-    with millions of copies costs one row per task; the rows themselves only move
-    for the join on the unique id.
+    The minimum id per text digest is pre-aggregated before the shuffle, so a text with millions of copies costs one row
+    per task; rows of equal text and id are reduced to one in the map tasks as well.  A text whose ids are all null keeps
+    one row.
     """
-    first = (
-        df.select(F.sha2(F.col(text), 256).alias("_digest"), F.col(id_col).alias("_id"))
-        .groupBy("_digest")
-        .agg(F.min("_id").alias(id_col))
-        .select(id_col)
-    )
-    return df.join(first, id_col, "left_semi")
+    digest = F.sha2(F.col(text), 256)
+    first = df.select(digest.alias("_first_digest"), F.col(id_col).alias("_id")).groupBy("_first_digest").agg(F.min("_id").alias("_first_id"))
+    rows = df.withColumn("_digest", digest)
+    same = rows["_digest"].eqNullSafe(first["_first_digest"]) & rows[id_col].eqNullSafe(first["_first_id"])
+    return rows.join(first, same, "left_semi").dropDuplicates(["_digest", id_col]).drop("_digest")
 
 
 def carry_forward(

@@ -217,7 +217,7 @@ def analyse_failures(gold: DataFrame, predictions: DataFrame) -> DataFrame:
 # --- audits ---------------------------------------------------------------------------------
 
 
-def audit_brands(threads: DataFrame, sample_per_brand: int | None = 5000, seed: int = V.SEED) -> DataFrame:
+def audit_brands(threads: DataFrame, sample_per_brand: int | None = None, seed: int = V.SEED) -> DataFrame:
     """Scorecard with up to three sample threads per brand."""
     card = brand_audit.scorecard(brand_audit.brand_measures(threads, sample_per_brand, seed))
     if "turns" not in threads.columns:
@@ -228,11 +228,11 @@ def audit_brands(threads: DataFrame, sample_per_brand: int | None = 5000, seed:
     return card.join(samples, "brand", "left").orderBy(F.desc("composite_score"), "brand")
 
 
-def audit_reply_graph(messages: DataFrame, brands: list[str], sample: int | None = 5000) -> DataFrame:
+def audit_reply_graph(messages: DataFrame, brands: list[str], sample: int | None = None) -> DataFrame:
     return reply_graph.audit(messages, brands, sample)
 
 
-def discover_topics(conversations: DataFrame, brand: str | None = None, audit_size: int | None = 1000) -> DataFrame:
+def discover_topics(conversations: DataFrame, brand: str | None = None, audit_size: int | None = None) -> DataFrame:
     """First messages with their topics; ``audit_size`` None takes every qualifying message."""
     raw = conversations if brand is None else conversations.where(F.col("company") == brand)
     threads = threads_from_transcripts(raw, strict_turns(F.col("conversation")))

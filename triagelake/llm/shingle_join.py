@@ -6,7 +6,7 @@ has; at most MOST_COMMON such n-grams (the commonest) are sent to the tasks.
 
 * Equal sets are one class; only classes are joined.
 * Candidates: two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 n-grams of either.  These
-  prefixes are dealt by n-gram; a bucket's sets are compared with three hubs of the bucket, and after the links so found
+  prefixes are dealt by n-gram, one of n-grams that the same sets share; a bucket's sets are compared with three hubs of the bucket, and after the links so found
   only sets of different components are compared with each other, block by block inside a task.
 * Sets that still have a possible partner in another component are looked at together: an n-gram that only one of them has
   adds to its difference from every other, which bounds pairs far more tightly in large groups of edited copies.  The
@@ -183,7 +183,7 @@ def _whole(batches, *names):
 
 
 def _shared(batches):
-    """Keep the n-grams that several sets have in their prefixes."""
+    """Keep the n-grams that several sets have in their prefixes; of n-grams with the same sets one, and a 128-bit name of its sets."""
     gram, sid, size = _whole(batches, "gram", "sid", "size")
     order = np.argsort(gram, kind="stable")
     gram, sid, size = gram[order], sid[order], size[order]
@@ -198,8 +198,21 @@ def _shared(batches):
     gram, sid, size = gram[new], sid[new], size[new]
     starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, dtype=np.int64)
     counts = np.diff(np.concatenate([starts, [len(gram)]]))
-    again = np.repeat(counts > 1, counts)
-    yield pa.RecordBatch.from_arrays([pa.array(gram[again]), pa.array(sid[again]), pa.array(size[again].astype(np.int32))], names=["gram", "sid", "size"])
+    sets = sid.view(np.uint64)
+    none = np.zeros(0, dtype=np.uint64)
+    one, two = (np.add.reduceat(mix(v), starts) if len(starts) else none for v in (sets, sets ^ _SECOND))
+    keep = np.zeros(len(starts), dtype=bool)
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    keep[order[new]] = True
+    keep &= counts > 1
+    again = np.repeat(keep, counts)
+    name = [signed(np.repeat(v[keep], counts[keep])) for v in (one, two)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(gram[again]), pa.array(sid[again]), pa.array(size[again].astype(np.int32)), *map(pa.array, name)],
+        names=["gram", "sid", "size", "one", "two"],
+    )
 
 
 def _hub_pairs(percent: int):
@@ -419,7 +432,10 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     common = np.sort(np.array([r["gram"] for r in often.select("gram").collect()], dtype=np.int64).view(np.uint64))
     shared_common = docs.sparkSession.sparkContext.broadcast(common)
     dealt = given.select("text").mapInArrow(_prefixes("text", n, percent, shared_common), "gram long, sid long, size int").repartition("gram")
-    shared = cut_lineage(dealt.mapInArrow(_shared, "gram long, sid long, size int"), "shared")
+    several = cut_lineage(dealt.mapInArrow(_shared, "gram long, sid long, size int, one long, two long"), "several")
+    # n-grams with the same sets give the same pairs, also the same hubs: one of them is enough
+    chosen = several.groupBy("one", "two").agg(F.min("gram").alias("gram")).select("gram")
+    shared = cut_lineage(several.join(chosen, "gram", "left_semi").select("gram", "sid", "size"), "shared")
     first = cut_lineage(shared.repartition("gram").mapInArrow(_hub_pairs(percent), "a long, b long").distinct(), "pairs")
     members = cut_lineage(sets.where("size > 0").groupBy("sid").agg(F.min(F.struct("doc", "size", "sketch")).alias("m")).select("sid", "m.doc", F.col("m.size").cast("int").alias("size"), "m.sketch"), "members")
     links = _linked(first, members, given, n, percent)

@@ -7,7 +7,8 @@ has; at most MOST_COMMON such n-grams (the commonest) are sent to the tasks.
 * Equal sets are one class; only classes are joined.
 * Candidates: two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 n-grams of either.  These
   prefixes are dealt by n-gram, one of n-grams that the same sets share; a bucket's sets are compared with three hubs of the bucket, and after the links so found
-  only sets of different components are compared with each other, block by block inside a task.
+  only sets of different components are compared with each other, block by block inside a task, in the unions of the
+  buckets that have the same first set.
 * Sets that still have a possible partner in another component are looked at together: an n-gram that only one of them has
   adds to its difference from every other, which bounds pairs far more tightly in large groups of edited copies.  The
   member with fewest such n-grams is the next hub; only what it leaves unlinked is compared pair by pair.
@@ -412,10 +413,10 @@ def _linked(pairs: DataFrame, members: DataFrame, given: DataFrame, n: int, perc
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bucket rows with their component, of buckets with several components."""
+    """The bucket rows with their component and the bucket's first set, of buckets with several components."""
     labelled = rows.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    several = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    return labelled.join(several, "gram", "left_semi")
+    several = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("sid").alias("first")).where("lo <> hi")
+    return labelled.join(several.select("gram", "first"), "gram")
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -441,7 +442,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     links = _linked(first, members, given, n, percent)
     labels = components(links)
     dealt_rows = "gram", "sid", "size", "label", "alone", "sketch"
-    mixed = _mixed(shared, labels).join(members.select("sid", "sketch"), "sid").withColumn("alone", F.lit(0).cast("long")).select(*dealt_rows)
+    # buckets with the same first set are mostly cuts of one passage's sets: their union holds every pair, and each sketch once
+    unions = _mixed(shared, labels).select(F.col("first").alias("gram"), "sid", "size", "label").repartition("sid").distinct()
+    mixed = unions.join(members.select("sid", "sketch"), "sid").withColumn("alone", F.lit(0).cast("long")).select(*dealt_rows)
     opened = cut_lineage(mixed.repartition("gram").mapInArrow(_open_sets(percent), "sid long").distinct(), "open")
     open_docs = cut_lineage(opened.join(members, "sid").select("doc").distinct(), "wanted")
     open_texts = cut_lineage(given.join(open_docs, "doc", "left_semi").select("text"), "opentexts")

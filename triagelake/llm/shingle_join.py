@@ -412,10 +412,11 @@ def _linked(pairs: DataFrame, members: DataFrame, given: DataFrame, n: int, perc
     return cut_lineage(counted.where(F.col("n") * 100 >= percent * (F.col("za") + F.col("zb") - F.col("n"))).select("a", "b"), "links")
 
 
-def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """The bucket rows with their component and the bucket's first set, of buckets with several components."""
+def _mixed(rows: DataFrame, labels: DataFrame, least: int = 2) -> DataFrame:
+    """The bucket rows with their component and the bucket's first set, of buckets with several components and least sets."""
     labelled = rows.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    several = labelled.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("sid").alias("first")).where("lo <> hi")
+    of_bucket = F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("sid").alias("first"), F.count("*").alias("sets")
+    several = labelled.groupBy("gram").agg(*of_bucket).where((F.col("lo") != F.col("hi")) & (F.col("sets") >= least))
     return labelled.join(several.select("gram", "first"), "gram")
 
 
@@ -443,7 +444,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     labels = components(links)
     dealt_rows = "gram", "sid", "size", "label", "alone", "sketch"
     # buckets with the same first set are mostly cuts of one passage's sets: their union holds every pair, and each sketch once
-    unions = _mixed(shared, labels).select(F.col("first").alias("gram"), "sid", "size", "label").repartition("sid").distinct()
+    # of two sets one was the hub, so their pair is decided
+    unions = _mixed(shared, labels, 3).select(F.col("first").alias("gram"), "sid", "size", "label").repartition("sid").distinct()
     mixed = unions.join(members.select("sid", "sketch"), "sid").withColumn("alone", F.lit(0).cast("long")).select(*dealt_rows)
     opened = cut_lineage(mixed.repartition("gram").mapInArrow(_open_sets(percent), "sid long").distinct(), "open")
     open_docs = cut_lineage(opened.join(members, "sid").select("doc").distinct(), "wanted")

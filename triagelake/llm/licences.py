@@ -6,6 +6,7 @@ set to have at least t / (2 - t) times the size of the larger, which prunes noti
 
 from __future__ import annotations
 
+import pkgutil
 from collections import Counter
 
 import numpy as np
@@ -18,7 +19,7 @@ from triagelake.llm.arrow_text import ALNUM, Words, pieces, text_bytes, windows
 
 LEAST = 0.75
 
-# Customary short notices of public licences.
+# Customary notices, headers and texts of public licences.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -35,6 +36,70 @@ NOTICES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    " 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_3 = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY"
+    " AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES"
+    " (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,"
+    " STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_END = (
+    " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    " IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH"
+    " THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_END = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
+    " IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,"
+    " WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_GNU_HEADER = "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+
+for _mark, _name in {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}.items():
+    NOTICES[f"CC-{_mark}-4.0"] = f"This work is licensed under a Creative Commons {_name} 4.0 International License."
+    NOTICES[f"CC-{_mark}-4.0-short"] = f"Licensed under CC {_mark} 4.0."
+    _name = _name.replace("NoDerivatives", "NoDerivs")
+    NOTICES[f"CC-{_mark}-3.0"] = f"This work is licensed under a Creative Commons {_name} 3.0 Unported License."
+    NOTICES[f"CC-{_mark}-3.0-short"] = f"Licensed under CC {_mark} 3.0."
+
+for _mark, _name, _version in (
+    ("GPL-2.0", "General Public License", "2"), ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+    ("AGPL-3.0", "Affero General Public License", "3"),
+):
+    NOTICES[_mark] = f"This work is licensed under the GNU {_name}, version {_version}."
+    NOTICES[f"{_mark}-header"] = _GNU_HEADER.format("This library" if _mark == "LGPL-2.1" else "This program", _name, _version)
+
+NOTICES |= {
+    "BSD-2-Clause-short": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause-short": "Licensed under the BSD 3-Clause License.",
+    "BSD-2-Clause-text": _BSD_2 + _BSD_END,
+    "BSD-3-Clause-text": _BSD_2 + _BSD_3 + _BSD_END,
+    "GPL-2.0-only-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "ISC-full": NOTICES["ISC"] + _ISC_END,
+    "MIT-full": NOTICES["MIT-text"] + _MIT_END,
+    "Unlicense-full": NOTICES["Unlicense"] + (
+        " Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+        " In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain."
+        " We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors."
+        " We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."
+        " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+        " IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+}
+
+# whole licences, kept as files of the package
+for _mark in ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+    NOTICES[f"{_mark}-full"] = pkgutil.get_data(__package__, f"licence_texts/{_mark}.txt").decode("ascii")
+
 
 class Notices:
     """Bigram sets of the notices, by bigram."""
@@ -49,7 +114,8 @@ class Notices:
         self.bigrams = np.array([h for h, _ in own], dtype=np.uint64)
         self.owner = np.array([d for _, d in own], dtype=np.int64)
         self.sizes = np.bincount(self.owner, minlength=len(self.names)) if own else np.zeros(len(self.names), dtype=np.int64)
-        self.known = np.unique(self.bigrams)
+        # owners of known[i] are owner[first_owner[i] : first_owner[i] + n_owners[i]]
+        self.known, self.first_owner, self.n_owners = np.unique(self.bigrams, return_index=True, return_counts=True)
 
 
 def _segments(body: bytes) -> list[tuple[int, int]]:
@@ -66,6 +132,21 @@ def _segments(body: bytes) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _possible(doc: np.ndarray, gram: np.ndarray, notices: Notices, fewest: np.ndarray) -> dict[int, list[int]]:
+    """Notices of which a document has enough different bigrams, by document; gram is the number in notices.known."""
+    n = len(notices.known)
+    if not len(doc):
+        return {}
+    seen = np.unique(doc.astype(np.int64) * n + gram)
+    many = notices.n_owners[seen % n]
+    place = np.repeat(notices.first_owner[seen % n] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+    pair, count = np.unique(np.repeat(seen // n, many) * len(notices.names) + notices.owner[place], return_counts=True)
+    out: dict[int, list[int]] = {}
+    for p in pair[count >= fewest[pair % len(notices.names)]].tolist():
+        out.setdefault(p // len(notices.names), []).append(p % len(notices.names))
+    return out
+
+
 def _matches(raw, offsets, notices: Notices, least: float):
     """(document, notice, best coefficient, number of parts that reach it) of some documents."""
     words = Words(raw, offsets, ALNUM, lower=True)
@@ -77,24 +158,27 @@ def _matches(raw, offsets, notices: Notices, least: float):
     at[at == len(notices.known)] = 0
     hit = inside & (notices.known[at] == pairs) if len(notices.known) else np.zeros(len(pairs), dtype=bool)
     found: dict[tuple[int, int], list[float]] = {}
-    # common bigrams that the smallest notice needs: c >= t (size + notice) / 2 with size >= c
-    fewest = max(1, int(np.ceil(least / (2 - least) * notices.sizes.min() - 1e-9))) if len(notices.known) else 1
-    for d in np.unique(words.doc[: len(pairs)][hit]).tolist():
+    # a document can reach a notice only with c >= t (size + notice) / 2 common bigrams, size >= c
+    fewest = np.maximum(1, np.ceil(least / (2 - least) * notices.sizes - 1e-9)).astype(np.int64)
+    for d, kinds in _possible(words.doc[: len(pairs)][hit], at[hit], notices, fewest).items():
         lo, hi = int(words.first[d]), int(words.first[d + 1])
         begin = int(words.offsets[d])
         starts, ends = words.starts[lo:hi], words.ends[lo:hi]
-        own_hits = np.flatnonzero(hit[lo : hi - 1]) + lo
+        mine = np.isin(notices.owner, kinds)
+        own, owner = notices.bigrams[mine], notices.owner[mine]
+        own_hits = np.flatnonzero(np.isin(pairs[lo : hi - 1], own)) + lo
+        enough = fewest[kinds].min()
         for a, b in _segments(raw[offsets[d] : offsets[d + 1]].tobytes()):
             first = lo + int(np.searchsorted(starts, begin + a))
             last = lo + int(np.searchsorted(ends, begin + b, side="right"))
-            if np.searchsorted(own_hits, last - 1) - np.searchsorted(own_hits, first) < fewest:
+            if np.searchsorted(own_hits, last - 1) - np.searchsorted(own_hits, first) < enough:
                 continue
             segment = np.unique(pairs[first : last - 1])
             size = len(segment)
             fits = (least * size <= (2 - least) * notices.sizes) & (least * notices.sizes <= (2 - least) * size)
-            if not fits.any():
+            if not fits[kinds].any():
                 continue
-            common = Counter(notices.owner[np.isin(notices.bigrams, segment)].tolist())
+            common = Counter(owner[np.isin(own, segment)].tolist())
             for k, n in common.items():
                 if fits[k] and 2.0 * n / (size + int(notices.sizes[k])) >= least:
                     found.setdefault((d, k), []).append(2.0 * n / (size + int(notices.sizes[k])))

@@ -1,5 +1,7 @@
 """Recall of the licence scan on notices worded as projects print them, not as the templates are."""
 
+import numpy as np
+
 from triagelake.llm import licences
 
 PRINTED = {
@@ -36,3 +38,30 @@ def test_printed_notices_are_found(spark):
 def test_plain_prose_has_no_licence(spark):
     prose = ["The terms of the agreement and the conditions of the sale are in the contract of the parties, subject to the following.", "She was licensed to drive under the new rules. " * 40]
     assert best(spark, prose) == {}
+
+
+def test_notices_inside_longer_parts_are_found(spark):
+    prose = " ".join(f"word{i} of the story" for i in range(60))
+    apache = (
+        "/*\n * Copyright 2019 Somebody\n *\n * Reads the tables of the store and {0}.\n *\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance\n"
+        " * with the License. You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n *\n * {0}\n */\n{0}"
+    ).format(prose)
+    texts = [
+        apache, apache.replace("\n", "\r\n"), f"{prose}. Released under the MIT License. {prose}", f"{prose} (licensed under CC BY-NC-ND 4.0) {prose}",
+        f"{prose}\n{open('/usr/share/common-licenses/GPL-2').read()}\n{prose}\n{prose}",
+    ]
+    got = best(spark, texts)
+    for i, name in enumerate(("Apache-2.0", "Apache-2.0", "MIT", "CC-BY-NC-ND-4.0", "GPL-2.0")):
+        assert got.get(i, "").startswith(name), (name, got.get(i))
+
+
+def test_best_window_equals_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        grams = rng.integers(0, 9, rng.integers(1, 40)).astype(np.uint64)
+        notice, length = set(rng.integers(0, 9, 5).tolist()), int(rng.integers(1, 12))
+        runs = [set(grams[i : i + length].tolist()) for i in range(len(grams) - length + 1)] if len(grams) > length else []
+        wanted = max((2 * len(r & notice) / (len(r) + len(notice)) for r in runs), default=0.0)
+        fewest = int(np.ceil(0.6 * len(notice)))
+        got = licences._best_window(grams, licences._before(grams), np.isin(grams, list(notice)), length, len(notice), fewest)
+        assert got == wanted or wanted < 0.75 and got in (0.0, wanted)

@@ -1,6 +1,7 @@
 """Licence scans: Dice coefficient of word bigrams between parts of a text and licence notices.
 
-Parts are the text, its paragraphs (between empty lines) and its lines.  A Dice coefficient of t needs the smaller bigram
+Parts are the text, its paragraphs (between empty lines) and its lines.  Notices that stand inside a longer part or across
+lines are found by windows: all runs of as many words as the notice has.  A Dice coefficient of t needs the smaller bigram
 set to have at least t / (2 - t) times the size of the larger, which prunes notices by size before any bigram is compared.
 """
 
@@ -113,6 +114,7 @@ class Notices:
         own = sorted({(int(h), int(d)) for h, d in zip(pairs[inside], words.doc[: len(pairs)][inside])})
         self.bigrams = np.array([h for h, _ in own], dtype=np.uint64)
         self.owner = np.array([d for _, d in own], dtype=np.int64)
+        self.words = words.per_doc
         self.sizes = np.bincount(self.owner, minlength=len(self.names)) if own else np.zeros(len(self.names), dtype=np.int64)
         # owners of known[i] are owner[first_owner[i] : first_owner[i] + n_owners[i]]
         self.known, self.first_owner, self.n_owners = np.unique(self.bigrams, return_index=True, return_counts=True)
@@ -147,8 +149,38 @@ def _possible(doc: np.ndarray, gram: np.ndarray, notices: Notices, fewest: np.nd
     return out
 
 
+def _before(grams: np.ndarray) -> np.ndarray:
+    """The place of the same bigram before each place, -1 for none."""
+    order = np.argsort(grams, kind="stable")
+    out = np.full(len(grams), -1, dtype=np.int64)
+    again = grams[order[1:]] == grams[order[:-1]]
+    out[order[1:][again]] = order[:-1][again]
+    return out
+
+
+def _different(places: np.ndarray, before: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Numbers of different bigrams at `places` in each run of `length` places of n."""
+    many = n - length + 1
+    change = np.zeros(many + 1, dtype=np.int64)
+    # a place is its bigram's first in the runs that begin behind the one before
+    first, last = np.maximum(before[places] + 1, places - length + 1), np.minimum(places, many - 1)
+    some = first <= last
+    np.add.at(change, first[some], 1)
+    np.add.at(change, last[some] + 1, -1)
+    return np.cumsum(change[:-1])
+
+
+def _best_window(grams: np.ndarray, before: np.ndarray, member: np.ndarray, length: int, size: int, fewest: int) -> float:
+    """The best coefficient of the runs of `length` bigrams with a notice of `size`; member: the notice has the bigram."""
+    places = np.flatnonzero(member)
+    if length < 1 or len(grams) <= length or len(places) < fewest or (places[fewest - 1 :] - places[: len(places) - fewest + 1]).min() >= length:
+        return 0.0
+    common = _different(places, before, length, len(grams))
+    return float((2.0 * common / (_different(np.arange(len(grams)), before, length, len(grams)) + size)).max())
+
+
 def _matches(raw, offsets, notices: Notices, least: float):
-    """(document, notice, best coefficient, number of parts that reach it) of some documents."""
+    """(document, notice, best coefficient of parts and windows, number of parts that reach `least`) of some documents."""
     words = Words(raw, offsets, ALNUM, lower=True)
     pairs = windows(words.hashes(), 2)
     inside = np.zeros(len(pairs), dtype=bool)
@@ -158,6 +190,7 @@ def _matches(raw, offsets, notices: Notices, least: float):
     at[at == len(notices.known)] = 0
     hit = inside & (notices.known[at] == pairs) if len(notices.known) else np.zeros(len(pairs), dtype=bool)
     found: dict[tuple[int, int], list[float]] = {}
+    runs: dict[tuple[int, int], float] = {}
     # a document can reach a notice only with c >= t (size + notice) / 2 common bigrams, size >= c
     fewest = np.maximum(1, np.ceil(least / (2 - least) * notices.sizes - 1e-9)).astype(np.int64)
     for d, kinds in _possible(words.doc[: len(pairs)][hit], at[hit], notices, fewest).items():
@@ -182,13 +215,19 @@ def _matches(raw, offsets, notices: Notices, least: float):
             for k, n in common.items():
                 if fits[k] and 2.0 * n / (size + int(notices.sizes[k])) >= least:
                     found.setdefault((d, k), []).append(2.0 * n / (size + int(notices.sizes[k])))
-    return [(d, k, max(v), len(v)) for (d, k), v in sorted(found.items())]
+        grams = pairs[lo : hi - 1]
+        before = _before(grams)
+        for k in kinds:
+            dice = _best_window(grams, before, np.isin(grams, own[owner == k]), int(notices.words[k]) - 1, int(notices.sizes[k]), int(fewest[k]))
+            if dice >= least:
+                runs[d, k] = dice
+    return [(d, k, max([*found.get((d, k), []), runs.get((d, k), 0.0)]), len(found.get((d, k), []))) for d, k in sorted(found.keys() | runs.keys())]
 
 
 def scan_licences(docs: DataFrame, *, key: str = "doc_id", text: str = "text", notices: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """(key, licence, dice, n_parts): one row per document and notice with a part at or over `least`.
+    """(key, licence, dice, n_parts): one row per document and notice with a part or window at or over `least`.
 
-    dice is the best part's coefficient, n_parts the number of parts that reach `least`.  Words are ASCII letters (case
+    dice is the best coefficient of a part or window, n_parts the number of parts that reach `least` (0: only windows do).  Words are ASCII letters (case
     folded), digits and all characters beyond ASCII.  Null, empty and one-word texts match nothing; repeated rows match
     each for itself; other columns of docs are not read; an empty table or no notices give an empty result.
     """

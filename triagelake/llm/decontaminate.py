@@ -121,33 +121,21 @@ def _merged(doc: np.ndarray, word: np.ndarray):
     return starts, np.concatenate([starts[1:], [len(doc)]]) - 1
 
 
-def _scanner(shared, text: str, cut: bool):
+def _scanner(shared, text: str):
     def run(batches):
         block = shared.value
         for batch in batches:
             raw, offsets = text_bytes(batch.column(text))
-            counts, (doc, word, first, behind), pairs = scan_texts(raw, offsets, block)
+            counts, (doc, word, _, _), pairs = scan_texts(raw, offsets, block)
             starts, lasts = _merged(doc, word)
             spans: dict[int, list] = {}
-            holes: dict[int, list] = {}
             for s, e in zip(starts.tolist(), lasts.tolist()):
                 spans.setdefault(int(doc[s]), []).append({"start": int(word[s]), "end": int(word[e]) + 1})
-                holes.setdefault(int(doc[s]), []).append((int(first[s]), int(behind[e])))
             items: dict[int, list] = {}
             for d, k in pairs.tolist():
                 items.setdefault(d, []).append(block.ids[k])
             n = batch.num_rows
             columns = {name: batch.column(name) for name in batch.schema.names}
-            if cut and holes:
-                texts = columns[text].to_pylist()
-                for d, gone in holes.items():
-                    own, at, left = raw[offsets[d] : offsets[d + 1]].tobytes(), 0, []
-                    for a, b in gone:
-                        a, b = a - int(offsets[d] - offsets[0]), b - int(offsets[d] - offsets[0])
-                        left.append(own[at:a])
-                        at = b
-                    texts[d] = b"".join([*left, own[at:]]).decode("utf-8", "replace")
-                columns[text] = pa.array(texts, columns[text].type)
             span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [*columns.values(), pa.array(counts), pa.array([spans.get(d, []) for d in range(n)], span_type),
@@ -158,6 +146,30 @@ def _scanner(shared, text: str, cut: bool):
     return run
 
 
+def _cutter(text: str):
+    """Takes the words of bench_spans out of the text."""
+
+    def run(batches):
+        for batch in batches:
+            spans = batch.column("bench_spans").to_pylist()
+            hit = [d for d, s in enumerate(spans) if s]
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            if hit:
+                raw, offsets = text_bytes(columns[text])
+                texts = columns[text].to_pylist()
+                for d in hit:
+                    own, at, left = raw[offsets[d] : offsets[d + 1]].tobytes(), 0, []
+                    words = Words(raw, offsets[d : d + 2], ALNUM, lower=True)
+                    for s in spans[d]:
+                        left.append(own[at : int(words.starts[s["start"]])])
+                        at = int(words.ends[s["end"] - 1])
+                    texts[d] = b"".join([*left, own[at:]]).decode("utf-8", "replace")
+                columns[text] = pa.array(texts, columns[text].type)
+            yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
+
+    return run
+
+
 def benchmark_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
     """Yields the items in blocks of about block_bytes; an item without id has the id ''."""
     known = items.where(F.col(text).isNotNull()).select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).distinct()
@@ -168,12 +180,13 @@ def benchmark_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int
 
 
 def find_benchmark(
-    docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, cut: bool = False
+    docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, cut: bool = False,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """docs with bench_words (count), bench_spans (hit word ranges, merged) and bench_items (ids of items found).
 
-    With cut, the hit words are taken out of the text (what lies between two hit neighbours goes with them); with several
-    blocks, later ones then see the shortened text.  Null and empty texts have no words and no hits; repeated rows are
+    With cut, the hit words are taken out of the text (what lies between two hit neighbours goes with them) once all blocks
+    were searched, so hits and bench_spans are those of the uncut text.  Null and empty texts have no words and no hits; repeated rows are
     judged alone; other columns pass through, and columns of docs named like the new ones are replaced.  Items with null
     or wordless text are no windows; an empty benchmark hits nothing.
     """
@@ -182,20 +195,20 @@ def find_benchmark(
     out = docs.drop(*new)
     kept = out.columns
     state = out.withColumns({"bench_words": F.lit(0).cast("long"), "bench_spans": F.expr(f"cast(array() as {SPANS})"), "bench_items": F.expr("cast(array() as array<string>)")})
-    blocks = benchmark_blocks(items, item_id, item_text)
+    blocks = benchmark_blocks(items, item_id, item_text, block_bytes)
     for k, block in enumerate([*_first_or_empty(blocks)]):
         if k:
             state = cut_lineage(state, "bench")
         shared = spark.sparkContext.broadcast(WindowSet(block, window))
         schema = T.StructType([*state.schema.fields, T.StructField("_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("_items", T.ArrayType(T.StringType()))])
-        found = state.mapInArrow(_scanner(shared, text, cut), schema)
+        found = state.mapInArrow(_scanner(shared, text), schema)
         state = found.select(
             *kept,
             (F.col("_words") if k == 0 else F.col("bench_words")).alias("bench_words"),
             (F.col("_spans") if k == 0 else _union_spans("bench_spans", "_spans")).alias("bench_spans"),
             (F.col("_items") if k == 0 else F.array_union("bench_items", "_items")).alias("bench_items"),
         )
-    return state
+    return state.mapInArrow(_cutter(text), state.schema) if cut else state
 
 
 def _first_or_empty(blocks):

@@ -5,8 +5,8 @@ without either holds none and is not decoded.  Windows of a text are reconciled
 overlap are joined, and the heaviest set of spans that do not overlap is kept.  A span of the tagger must also be sound for
 its kind (check digit, ranges, number of digits); it never touches a span of the fixed patterns, which always stay.
 
-Training rows are at most `windows` windows with spans and as many without, from about `documents` documents picked by a
-hash; both bounds are parameters of the fit.
+Spans are looked for in all documents.  Training rows are at most `windows` windows with spans and as many without, those of
+the lowest hashes; every kind has an equal share of the windows with spans first, so a kind that occurs is trained on.
 """
 
 from __future__ import annotations
@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.llm.arrow_text import text_bytes
+from triagelake.llm.arrow_text import mix, text_bytes
 from triagelake.llm.tagger import Tagger, encode
+from triagelake.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
-DOCUMENTS, WINDOWS = 6000, 400
+WINDOWS = 400
+PLAIN = len(KINDS)
 MARGIN = 4.0
 AT_ONCE = 512
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -133,35 +135,81 @@ def _padded(text: str, start: int) -> np.ndarray:
     return row
 
 
-def _training_windows(batches):
-    """Windows with their tags: all that have a span and the first that has none, of each document."""
-    for batch in batches:
-        out = {"spans": [], "draw": [], "symbols": [], "tags": []}
-        for text, draw in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
-            spans, plain = base_spans(text or ""), 0
-            for w in window_starts(text or ""):
-                tags = _gold(spans, w)
-                plain += not tags.any()
-                if tags.any() or plain == 1:
-                    out["spans"].append(int(tags.any()))
-                    out["draw"].append(draw + w)
-                    out["symbols"].append(_padded(text, w).tolist())
-                    out["tags"].append(tags.tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(out["spans"], pa.int32()), pa.array(out["draw"], pa.int64()), pa.array(out["symbols"], pa.list_(pa.int64())), pa.array(out["tags"], pa.list_(pa.int64()))], names=list(out))
-
-
-def fit(docs: DataFrame, *, text: str = "text", documents: int = DOCUMENTS, windows: int = WINDOWS) -> Tagger | None:
-    """Train on the fixed patterns' spans; None where the documents drawn hold none."""
-    n = docs.count()
-    share = min(1.0, documents / max(1, n))
+def _marked_windows(text: str):
+    """(start, tags) of the windows that have a span and of the first that has none."""
+    spans, at, plain = base_spans(text), 0, False
+    for w in window_starts(text):
+        while at < len(spans) and spans[at][2] <= w:
+            at += 1
+        own = []
+        for span in spans[at:]:
+            if span[0] >= w + WINDOW:
+                break
+            own.append(span)
+        tags = _gold(own, w)
+        if tags.any():
+            yield w, tags
+        elif not plain:
+            plain = True
+            yield w, tags
+
+
+def _lowest(rows: dict[bytes, tuple[int, bytes]], n: int) -> dict[bytes, tuple[int, bytes]]:
+    return dict(sorted(rows.items(), key=lambda x: (x[1], x[0]))[:n])
+
+
+def _training_windows(windows: int):
+    """The different windows of the lowest draws of each kind, and of those without spans (kind PLAIN), of a task's documents."""
+
+    def run(batches):
+        kept: list[dict[bytes, tuple[int, bytes]]] = [{} for _ in range(PLAIN + 1)]
+        bound = [1 << 63] * (PLAIN + 1)  # draws over it are not among the lowest
+        for batch in batches:
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
+                for w, tags in _marked_windows(text):
+                    draw = int(mix(np.array([own + w], dtype=np.uint64))[0] >> np.uint64(1))
+                    kinds = set(((tags[tags > 0] - 1) // 2).tolist()) or {PLAIN}
+                    if all(draw > bound[k] for k in kinds):
+                        continue
+                    symbols, row = _padded(text, w).astype(np.uint8).tobytes(), (draw, tags.astype(np.uint8).tobytes())
+                    for k in kinds:
+                        kept[k][symbols] = min(row, kept[k].get(symbols, row))
+                        if len(kept[k]) >= 2 * windows:
+                            kept[k] = _lowest(kept[k], windows)
+                            bound[k] = max(d for d, _ in kept[k].values())
+        rows = [(k, d, symbols, tags) for k in range(PLAIN + 1) for symbols, (d, tags) in _lowest(kept[k], windows).items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["kind", "draw", "symbols", "tags"])
+
+    return run
+
+
+def training_rows(docs: DataFrame, *, text: str = "text", windows: int = WINDOWS) -> list[tuple[bytes, bytes]]:
+    """(symbols, tags) of the windows to train on; no row where no document has a span."""
     draw = F.pmod(F.xxhash64(F.lit("pii"), F.col(text)), F.lit(1 << 40))
-    rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), draw.alias("draw")).where(F.col("draw") < share * (1 << 40))
-    cut = rows.mapInArrow(_training_windows, "spans int, draw long, symbols array<long>, tags array<long>").dropDuplicates(["symbols"])
-    picked = [r for kind in (1, 0) for r in cut.where(F.col("spans") == kind).orderBy("draw", "symbols").limit(windows).collect()]
-    if not any(r["spans"] for r in picked):
+    rows = docs.where(F.col(text).rlike(_EVIDENCE.pattern)).select(F.col(text).alias("text"), draw.alias("draw"))
+    found = rows.mapInArrow(_training_windows(windows), "kind int, draw long, symbols binary, tags binary")
+    found = cut_lineage(found.groupBy("kind", "symbols").agg(F.min(F.struct("draw", "tags")).alias("r")).select("kind", "symbols", "r.draw", "r.tags"), "pii")
+    by_kind = [[(r.draw, r.symbols, r.tags) for r in found.where(F.col("kind") == k).orderBy("draw", "symbols").limit(windows).collect()] for k in range(PLAIN + 1)]
+    if not any(by_kind[:PLAIN]):
+        return []
+    share = windows // len(KINDS)
+    order = [x for own in by_kind[:PLAIN] for x in own[:share]] + sorted(x for own in by_kind[:PLAIN] for x in own[share:])
+    picked: dict[bytes, bytes] = {}
+    for _, symbols, tags in order:
+        if len(picked) < windows:
+            picked.setdefault(bytes(symbols), bytes(tags))
+    # a window that is marked in one place is not plain in another
+    plain = {bytes(symbols): bytes(tags) for _, symbols, tags in by_kind[PLAIN] if bytes(symbols) not in picked}
+    return [*picked.items(), *plain.items()]
+
+
+def fit(docs: DataFrame, *, text: str = "text", windows: int = WINDOWS) -> Tagger | None:
+    """Train on the fixed patterns' spans; None where no document holds one."""
+    rows = training_rows(docs, text=text, windows=windows)
+    if not rows:
         return None
     tagger = Tagger(len(KINDS))
-    tagger.train(np.array([r["symbols"] for r in picked]), np.array([r["tags"] for r in picked]))
+    tagger.train(*(np.stack([np.frombuffer(r[c], dtype=np.uint8) for r in rows]).astype(np.int64) for c in (0, 1)))
     return tagger
 
 

@@ -4,12 +4,17 @@ The standard parser streams events.  Block tags cut the page into lines; inline
 characters over its tags; the ratios are smoothed along the page, and lines at or over a threshold taken from their spread
 form the content cluster.  The region is the innermost element that holds most of the cluster, an article or main element
 before others.  All its lines belong to the text, short ones too, except those inside boilerplate elements.
+
+What a class or id is called, and a form, are hints only: layout wrappers have such names too.  An element under a hint is
+boilerplate unless it holds a main element, the article with most clustered characters, or half of the characters of a first
+cluster in which hints do not count (nearly all of them if it stands beside an article that is under no hint).
 """
 
 from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +25,16 @@ from pyspark.sql import types as T
 FEED = 1 << 16
 SIGMA = 1.5
 MOST = 0.7
+NEARLY_ALL = 0.9
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 SILENT = frozenset("head title script style noscript template iframe object svg math canvas audio video select option textarea button datalist map".split())
-BOILERPLATE = frozenset("nav footer aside form dialog menu fieldset".split())
+BOILERPLATE = frozenset("nav footer aside dialog menu fieldset".split())
 REGIONS = frozenset("body main article section div td blockquote center".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-CLOSES_P = REGIONS | BOILERPLATE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre hr header figure address details".split())
-#: What names of classes and ids say, word by word.
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+CLOSES_P = REGIONS | BOILERPLATE | frozenset("form p h1 h2 h3 h4 h5 h6 ul ol dl table pre hr header figure address details".split())
+#: What names of classes and ids hint at, word by word.
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs"
     " sidebar aside footer header masthead topbar toolbar cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup"
@@ -44,18 +50,36 @@ def _named_boilerplate(attrs: dict[str, str | None]) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", (attrs.get("style") or "").lower()):
         return True
+    return False
+
+
+def _hinted(tag: str, attrs: dict[str, str | None]) -> bool:
+    if tag == "form" or (attrs.get("role") or "").lower() == "form":
+        return True
     names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
     return any(w.lower() in HINTS for w in _WORDS.findall(names))
 
 
+class _Line(NamedTuple):
+    text: str
+    tags: int
+    regions: tuple[int, ...]
+    dropped: bool
+    hints: tuple[int, ...]
+
+
 class _Lines(HTMLParser):
-    """Lines as (text, tags, enclosing regions, dropped)."""
+    """Lines with the numbers of the regions and of the hinted elements around them."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # tag, opens boilerplate, region number or -1
         self.kinds: list[str] = []
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.hints: list[int] = []  # open hinted elements, as their depths
+        self.numbers: list[int] = []  # and as their numbers
+        self.n_hints = 0
+        self.around: dict[int, tuple[int, ...]] = {}  # hinted elements around each article and main
+        self.lines: list[_Line] = []
         self.parts: list[str] = []
         self.tags = 0
         self.silent = self.dropped = self.articles = 0
@@ -63,7 +87,7 @@ class _Lines(HTMLParser):
     def _end_line(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, tuple(r for _, _, r in self.stack if r >= 0), self.dropped > 0))
+            self.lines.append(_Line(text, self.tags, tuple(r for _, _, r in self.stack if r >= 0), self.dropped > 0, tuple(self.numbers)))
             self.tags = 0
         self.parts = []
 
@@ -76,11 +100,18 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         named = dict(attrs)
-        drop = tag in BOILERPLATE or (tag == "header" and not self.articles) or (tag not in ("html", "body", "article", "main") and _named_boilerplate(named))
+        inner = tag not in ("html", "body", "article", "main")
+        drop = tag in BOILERPLATE or (tag == "header" and not self.articles) or (inner and _named_boilerplate(named))
         region = -1
         if tag in REGIONS:
             region = len(self.kinds)
             self.kinds.append(tag)
+        if inner and not drop and _hinted(tag, named):
+            self.hints.append(len(self.stack))
+            self.numbers.append(self.n_hints)
+            self.n_hints += 1
+        if tag in ("article", "main"):
+            self.around[region] = tuple(self.numbers)
         self.stack.append((tag, drop, region))
         self.dropped += drop
         self.silent += tag in SILENT
@@ -93,6 +124,9 @@ class _Lines(HTMLParser):
     def _close(self, tag):
         while self.stack:
             t, drop, _ = self.stack.pop()
+            if self.hints and self.hints[-1] == len(self.stack):
+                self.hints.pop()
+                self.numbers.pop()
             self.dropped -= drop
             self.silent -= t in SILENT
             self.articles -= t in ("article", "main")
@@ -130,29 +164,56 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def content_lines(lines) -> np.ndarray:
     """Which lines are in the content cluster."""
-    ratios = np.array([0.0 if dropped else len(text) / max(1, tags) for text, tags, _, dropped in lines])
+    ratios = np.array([0.0 if x.dropped else len(x.text) / max(1, x.tags) for x in lines])
     smooth = smoothed(ratios)
-    usable = np.array([not dropped for *_, dropped in lines])
+    usable = np.array([not x.dropped for x in lines])
     return usable & (smooth >= min(smooth.std(), smooth.max()))
 
 
+def _settled(parser: _Lines) -> list[_Line]:
+    """The lines, those in hinted elements dropped unless the cluster lies in the element."""
+    if not parser.n_hints or not parser.lines:
+        return parser.lines
+    inside: dict[int, int] = {}
+    held = {r: [0, 0] for r in parser.around}  # clustered and other characters
+    enclosed: set[tuple[int, int]] = set()
+    total = 0
+    for x, chosen in zip(parser.lines, content_lines(parser.lines)):
+        total += chosen and len(x.text)
+        own = [r for r in x.regions if r in held]
+        for r in own:
+            held[r][not chosen] += not x.dropped and len(x.text)
+        for h in x.hints:
+            inside[h] = inside.get(h, 0) + (chosen and len(x.text))
+            enclosed.update((h, r) for r in own if h not in parser.around[r])
+    best = max(held, key=lambda r: (*held[r], -r), default=None)
+    kept = {h for h, w in inside.items() if 2 * w >= total}
+    if best is not None and any(held[best]):
+        if not parser.around[best]:
+            # an article outside of all hints: what lies beside it needs nearly all of the cluster
+            kept = {h for h in kept if (h, best) in enclosed or inside[h] >= NEARLY_ALL * total}
+        kept.update(parser.around[best])
+    kept.update(h for r, own in parser.around.items() if parser.kinds[r] == "main" for h in own)
+    return [x._replace(dropped=x.dropped or not kept.issuperset(x.hints)) for x in parser.lines]
+
+
 def main_text(html: str | None) -> str:
     parser = _Lines()
     html = html or ""
     for at in range(0, len(html), FEED):
         parser.feed(html[at : at + FEED])
     parser.finish()
-    lines = parser.lines
+    lines = _settled(parser)
     if not lines:
         return ""
     cluster = content_lines(lines)
     weight: dict[int, int] = {}
     total = 0
-    for (text, _, regions, dropped), chosen in zip(lines, cluster):
-        if chosen and not dropped:
-            total += len(text)
-            for r in regions:
-                weight[r] = weight.get(r, 0) + len(text)
+    for x, chosen in zip(lines, cluster):
+        if chosen and not x.dropped:
+            total += len(x.text)
+            for r in x.regions:
+                weight[r] = weight.get(r, 0) + len(x.text)
     region = None
     if total:
         strong = [r for r, w in weight.items() if parser.kinds[r] in ("article", "main") and w >= 0.5 * total]
@@ -162,7 +223,7 @@ def main_text(html: str | None) -> str:
     else:
         articles = [r for r, k in enumerate(parser.kinds) if k in ("article", "main")]
         region = articles[0] if articles else None
-    return " ".join(text for text, _, regions, dropped in lines if not dropped and (region is None or region in regions))
+    return " ".join(x.text for x in lines if not x.dropped and (region is None or region in x.regions))
 
 
 def extract(pages: DataFrame, *, html: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -421,10 +421,10 @@ def _mixed(rows: DataFrame, labels: DataFrame, least: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id, n_links): one row per row of docs, every link between different texts counted in.
+    """(key, n_shingles, component_id, n_links): one row per row of docs, components over every link between different texts.
 
-    component_id is the smallest key reachable by links, n_links the number of linked classes found for the row's class
-    (enough of them to connect its component).  Null and wordless texts have no n-grams and are linked with nothing.
+    component_id is the smallest key reachable by links.  n_links counts only the links of the row's class that were verified
+    until its component was joined: at least 1 in a component of several classes, no degree.  Null and wordless texts have no n-grams and are linked with nothing.
     Repeated rows come back as often as they are there.  A null key is smaller than all others and is given back as null.
     An empty table gives an empty result; other columns of docs are not read.
     """

@@ -65,3 +65,13 @@ def test_best_window_equals_brute_force():
         fewest = int(np.ceil(0.6 * len(notice)))
         got = licences._best_window(grams, licences._before(grams), np.isin(grams, list(notice)), length, len(notice), fewest)
         assert got == wanted or wanted < 0.75 and got in (0.0, wanted)
+
+
+def test_header_over_lines_of_a_comment_is_found(spark):
+    prose = " ".join(f"word{i} of the story" for i in range(60))
+    text = (
+        f"/*\n * {prose}\n *\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance\n"
+        f" * with the License. You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n *\n * {prose}\n */"
+    )
+    found = licences.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).where("licence = 'Apache-2.0-header'").collect()
+    assert len(found) == 1 and found[0].dice > 0.95 and found[0].n_parts == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm import decontaminate, language, licences, mixing, pages, pii, quality, secrets, shingle_join, suffix_dedup
+from triagelake.llm import centroids, decontaminate, language, licences, line_dedup, mixing, pages, pii, quality, secrets, shingle_join, suffix_dedup, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -214,3 +214,55 @@ def _count_of(kind: str):
 @query("op5_page_text")
 def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def _centroid_sql() -> str:
+    """Five unrolled rounds over all pairs of vector and centroid."""
+    off = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    nearest = f"SELECT vec_id, x, arg_min(c, (d, c)) AS cluster, min(d) AS distance FROM (SELECT v.vec_id, v.x, c.c, {off} AS d FROM kept v, {{of}} c) GROUP BY vec_id, x"
+    steps = [
+        "kept AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * e::DOUBLE) AS BIGINT)) AS x FROM embeddings "
+        "WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)",
+        "c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, x FROM kept QUALIFY c < 40)",
+    ]
+    for k in range(5):
+        steps += [
+            f"a{k} AS ({nearest.format(of=f'c{k}')})",
+            f"m{k} AS (SELECT cluster AS c, list(m ORDER BY j) AS x FROM (SELECT cluster, j, CAST(floor(sum(x[j])::DOUBLE / count(*)) AS BIGINT) AS m "
+            f"FROM a{k}, (SELECT unnest(range(1, 65)) AS j) GROUP BY cluster, j) GROUP BY cluster)",
+            f"c{k + 1} AS (SELECT c, coalesce(m{k}.x, c{k}.x) AS x FROM c{k} LEFT JOIN m{k} USING (c))",
+        ]
+    steps.append(f"last AS ({nearest.format(of='c5')})")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, cluster::INTEGER AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.x, ',')) AS centroid_sha256
+FROM last JOIN c5 ON c5.c = last.cluster"""
+
+
+@query("op11_centroids", _centroid_sql())
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
+OP13_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(a))) AS p, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT doc_id, p, line, coalesce(doc_id <> first, false) AS dropped FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(dropped::INT) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -2,8 +2,8 @@
 
 Lines are exploded with their position, normalised and hashed to 128 bits.  Distinct documents per hash are counted in two
 steps, by (hash, document) and then by hash with partial sums, so a line of a third of all documents sends one row per map
-task to the last step.  Hashes over the threshold join the lines back; only positions to drop travel on, and each text meets
-its own positions once.
+task to the last step.  Hashes over the threshold join the lines back, in a join that Spark splits where one line is skewed;
+only positions to drop travel on, and each text meets its own positions once.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.llm.names import unused
+from triagelake.session import cut_lineage
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -52,7 +53,8 @@ def drop_repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "te
     keyed = lines.select("doc", "digest", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     hashed = keyed.select("doc", "digest", "pos", F.xxhash64(F.lit(1), "key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"))
     per_hash = hashed.select("h1", "h2", "doc").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
-    repeated = per_hash.where(F.col("n") >= min_docs).select("h1", "h2", "first")
+    # written, so that both sides of the join come from a shuffle of their own and Spark can split a line that is everywhere
+    repeated = cut_lineage(per_hash.where(F.col("n") >= min_docs).select("h1", "h2", "first"), "repeated-lines")
     gone = hashed.join(repeated, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("first")))
     by_text = gone.groupBy(F.col("doc").alias(doc), F.col("digest").alias("own")).agg(F.array_sort(F.collect_set("pos")).alias(drops))
     met = named.join(by_text, named[key].eqNullSafe(by_text[doc]) & (named[digest] == by_text["own"]), "left")

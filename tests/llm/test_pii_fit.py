@@ -15,3 +15,13 @@ def test_a_kind_of_a_single_document_is_trained_on(spark):
     assert rows == pii.training_rows(card.union(mail).union(plain).repartition(5), windows=40)
     assert pii.training_rows(plain) == [] and pii.fit(plain) is None
     assert pii.fit(plain.union(card)) is not None
+
+
+def test_overlaps_by_running_ends_equal_all_pairs():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        spans = sorted((int(a), 0, int(a + n)) for a, n in zip(rng.integers(0, 60, 6), rng.integers(1, 25, 6)))
+        taken = pii._overlap_test(spans)
+        for s, e in zip(rng.integers(0, 80, 20), rng.integers(1, 9, 20)):
+            assert taken(s, s + e) == any(s < y and x < s + e for x, _, y in spans)
+    assert not pii._overlap_test([])(0, 5)

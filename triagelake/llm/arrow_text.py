@@ -6,12 +6,15 @@ only a single document longer than a piece makes one larger.  A null text counts
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -71,6 +74,27 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def small_batches(batches, column: str | int, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about `limit` bytes in the text column; a longer text is a slice of its own.
+
+    Results of a slice go out before the next one is read, so neither side holds a second copy of a whole batch.
+    """
+    give_back()
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        for i, j in pieces(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), limit):
+            yield batch.slice(i, j - i)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from stage to stage and keep what they once held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of whole documents with about `limit` bytes each."""
     n, i = len(offsets) - 1, 0
@@ -137,3 +161,12 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's long."""
     return x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
+
+
+def replaced(column: pa.Array, changed: dict[int, str]) -> pa.Array:
+    """The column with new texts in some rows; the others are not decoded."""
+    rows = sorted(changed)
+    source = pa.concat_arrays([column, pa.array([changed[r] for r in rows], column.type)])
+    places = np.arange(len(column))
+    places[rows] = len(column) + np.arange(len(rows))
+    return source.take(pa.array(places))

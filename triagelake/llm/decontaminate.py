@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.llm.arrow_text import ALNUM, Words, pieces, text_bytes
+from triagelake.llm.arrow_text import ALNUM, Words, pieces, replaced, small_batches, text_bytes
+from triagelake.llm.names import unused
 from triagelake.llm.suffixes import FMIndex
 from triagelake.session import cut_lineage
 
 WINDOW = 10
+#: Text per FM-index.
+INDEX_BYTES = 16 << 20
 BLOCK_BYTES = 8 << 20
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
@@ -121,10 +124,10 @@ def _merged(doc: np.ndarray, word: np.ndarray):
     return starts, np.concatenate([starts[1:], [len(doc)]]) - 1
 
 
-def _scanner(shared, text: str):
+def _scanner(shared, text: str, names: list[str]):
     def run(batches):
         block = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, text, INDEX_BYTES):
             raw, offsets = text_bytes(batch.column(text))
             counts, (doc, word, _, _), pairs = scan_texts(raw, offsets, block)
             starts, lasts = _merged(doc, word)
@@ -140,7 +143,7 @@ def _scanner(shared, text: str):
             yield pa.RecordBatch.from_arrays(
                 [*columns.values(), pa.array(counts), pa.array([spans.get(d, []) for d in range(n)], span_type),
                  pa.array([items.get(d, []) for d in range(n)], pa.list_(pa.string()))],
-                names=[*columns, "_words", "_spans", "_items"],
+                names=[*columns, *names],
             )
 
     return run
@@ -150,13 +153,13 @@ def _cutter(text: str):
     """Takes the words of bench_spans out of the text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, text):
             spans = batch.column("bench_spans").to_pylist()
             hit = [d for d, s in enumerate(spans) if s]
             columns = {name: batch.column(name) for name in batch.schema.names}
             if hit:
                 raw, offsets = text_bytes(columns[text])
-                texts = columns[text].to_pylist()
+                texts = {}
                 for d in hit:
                     own, at, left = raw[offsets[d] : offsets[d + 1]].tobytes(), 0, []
                     words = Words(raw, offsets[d : d + 2], ALNUM, lower=True)
@@ -164,7 +167,7 @@ def _cutter(text: str):
                         left.append(own[at : int(words.starts[s["start"]])])
                         at = int(words.ends[s["end"] - 1])
                     texts[d] = b"".join([*left, own[at:]]).decode("utf-8", "replace")
-                columns[text] = pa.array(texts, columns[text].type)
+                columns[text] = replaced(columns[text], texts)
             yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     return run
@@ -196,17 +199,18 @@ def find_benchmark(
     kept = out.columns
     state = out.withColumns({"bench_words": F.lit(0).cast("long"), "bench_spans": F.expr(f"cast(array() as {SPANS})"), "bench_items": F.expr("cast(array() as array<string>)")})
     blocks = benchmark_blocks(items, item_id, item_text, block_bytes)
+    words, spans, ids = now = unused(state.columns, "words", "spans", "items")
     for k, block in enumerate([*_first_or_empty(blocks)]):
         if k:
             state = cut_lineage(state, "bench")
         shared = spark.sparkContext.broadcast(WindowSet(block, window))
-        schema = T.StructType([*state.schema.fields, T.StructField("_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("_items", T.ArrayType(T.StringType()))])
-        found = state.mapInArrow(_scanner(shared, text), schema)
+        schema = T.StructType([*state.schema.fields, T.StructField(words, T.LongType()), T.StructField(spans, T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField(ids, T.ArrayType(T.StringType()))])
+        found = state.mapInArrow(_scanner(shared, text, now), schema)
         state = found.select(
             *kept,
-            (F.col("_words") if k == 0 else F.col("bench_words")).alias("bench_words"),
-            (F.col("_spans") if k == 0 else _union_spans("bench_spans", "_spans")).alias("bench_spans"),
-            (F.col("_items") if k == 0 else F.array_union("bench_items", "_items")).alias("bench_items"),
+            (F.col(words) if k == 0 else F.col("bench_words")).alias("bench_words"),
+            (F.col(spans) if k == 0 else _union_spans("bench_spans", spans)).alias("bench_spans"),
+            (F.col(ids) if k == 0 else F.array_union("bench_items", ids)).alias("bench_items"),
         )
     return state.mapInArrow(_cutter(text), state.schema) if cut else state
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.llm.arrow_text import PIECE_BYTES, mix, powers, signed
+from triagelake.llm.arrow_text import PIECE_BYTES, mix, powers, signed, small_batches
 from triagelake.session import cut_lineage
 
 LENGTHS = (5, 4, 3, 2, 1)
@@ -219,13 +219,13 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", keep:
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*keep, F.col(text).alias("_scored_text"))
+    given = docs.select(*keep) if text in keep else docs.select(*keep, text)  # the text crosses once
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, text):
             labels, scores = [], []
-            for _, texts in _batches(batch, "_scored_text"):
+            for _, texts in _batches(batch, text):
                 a, b = shared.value.score(texts)
                 labels += a
                 scores.append(b)

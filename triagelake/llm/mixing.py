@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from triagelake.llm.names import unused
 from triagelake.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -78,6 +79,7 @@ def mix_sources(
     )
     targets = targets.withColumnRenamed("source", "_source")
     match = F.col("source").eqNullSafe(F.col("_source"))
+    own_source, own_size, own_target, floor, bound, seed = names = unused(docs.columns, "source", "size", "target", "floor", "bound", "seed")
     taken = F.array(*[F.sum(F.col("size") * (F.col("_floor") + (F.col("_draws")[k] < F.col("_bound")).cast("long"))) for k in range(SEEDS)])
     trials = (
         sized.join(targets, match).select("source", "target", "size", "_floor", "_bound", _draws(F.col("key")).alias("_draws"))
@@ -85,16 +87,16 @@ def mix_sources(
     )
     miss = F.transform("_taken", lambda t, k: F.struct(F.abs(t - F.col("target")).alias("off"), k.alias("seed")))
     chosen = trials.select("source", F.array_min(miss)["seed"].alias("_seed"))
-    plan = targets.join(chosen, match).select("_source", F.col("source_size").alias("_size"), F.col("target").alias("_target"), "_floor", "_bound", "_seed")
+    plan = targets.join(chosen, match).select("_source", "source_size", "target", "_floor", "_bound", "_seed").toDF(*names)
     plan = cut_lineage(plan, "mixplan")
-    out = docs.join(plan, docs[source].eqNullSafe(F.col("_source")), "left")
-    draw = _draws(draw_key)[F.col("_seed")]
+    out = docs.join(plan, docs[source].eqNullSafe(plan[own_source]), "left")
+    draw = _draws(draw_key)[F.col(seed)]
     return out.select(
         *[docs[c] for c in docs.columns],
         word_count(text).alias("mix_size"),
-        F.col("_size").alias("mix_source_size"),
-        F.col("_target").alias("mix_target"),
-        (F.col("_floor") + (draw < F.col("_bound")).cast("long")).alias("mix_copies"),
+        F.col(own_size).alias("mix_source_size"),
+        F.col(own_target).alias("mix_target"),
+        (F.col(floor) + (draw < F.col(bound)).cast("long")).alias("mix_copies"),
     )
 
 

@@ -233,12 +233,12 @@ def extract(pages: DataFrame, *, html: str = "html", keep: list[str] | None = No
     are read each for itself; columns of pages named text or n_chars are replaced; an empty table gives an empty result.
     """
     keep = [c for c in (pages.columns if keep is None else keep) if c not in (html, "text", "n_chars")]
-    given = pages.select(*keep, F.col(html).alias("_read_html"))
+    given = pages.select(*keep, html)
     schema = T.StructType([*pages.select(*keep).schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(h.as_py()) for h in batch.column("_read_html")]
+            texts = [main_text(h.as_py()) for h in batch.column(html)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"]
             )

@@ -12,7 +12,8 @@ the lowest hashes; every kind has an equal share of the windows with spans first
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.llm.arrow_text import mix, text_bytes
+from triagelake.llm.arrow_text import mix, replaced, small_batches, text_bytes
 from triagelake.llm.tagger import Tagger, encode
 from triagelake.session import cut_lineage
 
@@ -141,12 +142,10 @@ def _marked_windows(text: str):
     for w in window_starts(text):
         while at < len(spans) and spans[at][2] <= w:
             at += 1
-        own = []
-        for span in spans[at:]:
-            if span[0] >= w + WINDOW:
-                break
-            own.append(span)
-        tags = _gold(own, w)
+        last = at
+        while last < len(spans) and spans[last][0] < w + WINDOW:
+            last += 1
+        tags = _gold(spans[at:last], w)
         if tags.any():
             yield w, tags
         elif not plain:
@@ -256,6 +255,12 @@ def reconcile(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
     return sorted(out)
 
 
+def _overlap_test(spans: list[tuple[int, int, int]]):
+    """Whether a range touches one of the spans (in order of their starts)."""
+    starts, ends = [s for s, _, _ in spans], [0, *accumulate((e for _, _, e in spans), max)]
+    return lambda s, e: ends[bisect_left(starts, e)] > s
+
+
 def tag_texts(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]]:
     """(fixed spans, added spans) of texts that have evidence."""
     base = [base_spans(t) for t in texts]
@@ -272,9 +277,10 @@ def tag_texts(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]
             found[d] += [(kind, s + w, min(e + w, len(texts[d])), m) for kind, s, e, m in _tagged(tags[k], scores[k], trans) if s + w < len(texts[d])]
     out = []
     for d, t in enumerate(texts):
+        taken = _overlap_test(base[d])
         added = [
             (s, k, e) for s, k, e in reconcile(found[d])
-            if sound(k, t, s, e) and not any(s < y and x < e for x, _, y in base[d])
+            if sound(k, t, s, e) and not taken(s, e)
         ]
         out.append((base[d], added))
     return out
@@ -302,7 +308,7 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, text: str = "t
     new = ["pii_base", "pii_added"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
-    given = docs.select(*keep, F.col(text).alias("_read_text"))
+    given = docs.select(*keep) if text in keep else docs.select(*keep, text)  # the text crosses once
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.select(*keep).schema.fields, *[T.StructField(c, span) for c in new]])
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -311,8 +317,8 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, text: str = "t
         return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans]
 
     def run(batches):
-        for batch in batches:
-            column = batch.column("_read_text")
+        for batch in small_batches(batches, text):
+            column = batch.column(text)
             raw, offsets = text_bytes(column)
             seen = np.concatenate([[0], np.cumsum(_HAS_EVIDENCE[raw[offsets[0] : offsets[-1]]])])
             likely = np.flatnonzero(seen[offsets[1:] - offsets[0]] > seen[offsets[:-1] - offsets[0]]).tolist()
@@ -328,7 +334,7 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, text: str = "t
                         changed[r] = masked(t, a + b)
             columns = {c: batch.column(c) for c in keep}
             if changed:
-                columns[text] = pa.array([changed.get(r, v) for r, v in enumerate(columns[text].to_pylist())], columns[text].type)
+                columns[text] = replaced(column, changed)
             yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(base, span_type), pa.array(added, span_type)], names=[*keep, *new])
 
     return given.mapInArrow(run, schema)

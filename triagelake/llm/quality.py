@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.llm.arrow_text import NOT_SPACE, Words, mix, pieces, text_bytes, windows
+from triagelake.llm.arrow_text import NOT_SPACE, Words, mix, pieces, small_batches, text_bytes, windows
 from triagelake.session import cut_lineage
 
 BITS = 15
@@ -221,12 +221,12 @@ def judge(docs: DataFrame, model: QualityModel | None, *, text: str = "text", th
     new = [*COUNTS, "base_failed", "quality_p", "kept"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    given = docs.select(*keep, F.col(text).alias("_judged_text"))
+    given = docs.select(*keep) if text in keep else docs.select(*keep, text)  # the text crosses once
     fields = [*docs.select(*keep).schema.fields, *[T.StructField(c, T.LongType()) for c in COUNTS], T.StructField("quality_p", T.DoubleType())]
 
     def run(batches):
-        for batch in batches:
-            raw, offsets = text_bytes(batch.column("_judged_text"))
+        for batch in small_batches(batches, text):
+            raw, offsets = text_bytes(batch.column(text))
             counts, chances = [[] for _ in COUNTS], []
             for i, j in pieces(offsets):
                 part = offsets[i : j + 1]

@@ -118,8 +118,10 @@ def scan_secrets(docs: DataFrame, *, text: str = "text", keep: list[str] | None
     repeated rows and rows with equal or null ids are scanned each for itself; columns of docs named like a kind are
     replaced; an empty table gives an empty result.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c != text and c not in KINDS and c != "_row"]
-    rows = cut_lineage(row_parts(docs, text, keep).withColumn("_row", F.monotonically_increasing_id()), "secrets")
+    names = [c for c in (docs.columns if keep is None else keep) if c != text and c not in KINDS]
+    keep = [f"given_{i}" for i in range(len(names))]  # so that no column of docs meets one of ours
+    docs = docs.select(F.col(text).alias("text"), *[F.col(c).alias(k) for c, k in zip(names, keep)])
+    rows = cut_lineage(row_parts(docs, "text", keep).withColumn("_row", F.monotonically_increasing_id()), "secrets")
     ids, secrets = _parts(rows, ("access", "weak_id")), _parts(rows, ("assign", "hex", "weak_secret"))
     linked = (
         _beside(_parts(rows, ("weak_id",)), secrets)
@@ -131,7 +133,7 @@ def scan_secrets(docs: DataFrame, *, text: str = "text", keep: list[str] | None
     ])
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")
     base = rows.select(*keep, *KINDS[:3], "_row")
-    return base.join(reported, "_row", "left").select(*keep, *KINDS[:3], *[F.coalesce(k, none).alias(k) for k in KINDS[3:]])
+    return base.join(reported, "_row", "left").select(*[F.col(k).alias(c) for c, k in zip(names, keep)], *KINDS[:3], *[F.coalesce(k, none).alias(k) for k in KINDS[3:]])
 
 
 def span_list(kinds: tuple[str, ...]) -> Column:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from triagelake.llm.arrow_text import NOT_SPACE, Words, mix, pieces, signed, text_bytes, windows
 from triagelake.llm.components import components
+from triagelake.llm.names import unused
 from triagelake.session import cut_lineage
 
 N = 5
@@ -488,10 +489,11 @@ def keep_representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "t
     count as one key before all others.
     """
     found = cut_lineage(near_duplicates(docs, key=key, text=text, n=n, percent=percent), "classes")
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept"), (F.col("n_shingles") > 0).alias("_worded")).distinct()
+    first, has_words, own_row = unused(docs.columns, "kept", "worded", "own")
+    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(first), (F.col("n_shingles") > 0).alias(has_words)).distinct()
     worded = F.coalesce(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = docs.join(kept, docs[key].eqNullSafe(F.col("_kept")) & (F.col("_worded") == worded), "left_semi")
+    rows = docs.join(kept, docs[key].eqNullSafe(F.col(first)) & (F.col(has_words) == worded), "left_semi")
     if not found.where("n_shingles > 0").groupBy(key).count().where("count > 1").head(1):
         return rows  # texts need not be dealt again where no key is repeated
     own = F.when(F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1)
-    return rows.withColumn("_own", own).dropDuplicates([key, "_own"]).select(*docs.columns)
+    return rows.withColumn(own_row, own).dropDuplicates([key, own_row]).select(*docs.columns)

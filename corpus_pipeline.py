@@ -38,7 +38,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as its source's rate says, numbered by copy."""
-    return mixing.repeated(mixing.mix_sources(docs)).select(*docs.columns, "copy")
+    return mixing.repeated(mixing.mix_sources(docs)).select(*[c for c in docs.columns if c != "copy"], "copy")
 
 
 def _with_length(changed: DataFrame, docs: DataFrame) -> DataFrame:

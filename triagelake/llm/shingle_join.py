@@ -34,6 +34,8 @@ N = 5
 PERCENT = 80
 FRAGMENTS = 4
 HUBS = 3
+#: Keys (about 16 bytes each) that are sent to every executor instead of dealing texts out.
+MOST_SENT = 2_000_000
 MOST_COMMON = 1 << 18
 BLOCK = 1024
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -489,10 +491,14 @@ def keep_representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "t
     count as one key before all others.
     """
     found = cut_lineage(near_duplicates(docs, key=key, text=text, n=n, percent=percent), "classes")
-    first, has_words, own_row = unused(docs.columns, "kept", "worded", "own")
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias(first), (F.col("n_shingles") > 0).alias(has_words)).distinct()
+    own_key, has_words, own_row = unused(docs.columns, "dropped", "worded", "own")
+    stays = F.max(F.col(key).eqNullSafe(F.col("component_id")))
+    dropped = found.groupBy(F.col(key).alias(own_key), (F.col("n_shingles") > 0).alias(has_words)).agg(stays.alias("stays")).where(~F.col("stays")).drop("stays")
+    dropped = cut_lineage(dropped, "dropped")
+    if dropped.count() <= MOST_SENT:  # else the join deals texts and keys out
+        dropped = F.broadcast(dropped)
     worded = F.coalesce(docs[text].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    rows = docs.join(kept, docs[key].eqNullSafe(F.col(first)) & (F.col(has_words) == worded), "left_semi")
+    rows = docs.join(dropped, docs[key].eqNullSafe(F.col(own_key)) & (F.col(has_words) == worded), "left_anti")
     if not found.where("n_shingles > 0").groupBy(key).count().where("count > 1").head(1):
         return rows  # texts need not be dealt again where no key is repeated
     own = F.when(F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1)

@@ -377,10 +377,10 @@ def terms(source: str, id_col: str, text: str = "text") -> str:
         FROM (SELECT {id_col} AS id, {kept} AS w FROM {source})) GROUP BY ALL"""
 
 
-def vocab(counts: str, n_docs: str, size: int) -> str:
+def vocab(counts: str, n_docs: str, size: int | None) -> str:
     return f"""SELECT term, total_tf, df, ln((1 + ({n_docs})) / (1.0 + df)) + 1 AS idf FROM (
         SELECT term, sum(tf)::BIGINT AS total_tf, count(*) AS df FROM {counts} GROUP BY term)
-        ORDER BY total_tf DESC, term LIMIT {size}"""
+        {"" if size is None else f"ORDER BY total_tf DESC, term LIMIT {size}"}"""
 
 
 def vectors(counts: str, vocab_: str, sublinear: bool = True) -> str:

@@ -19,7 +19,7 @@ from triagelake.sources import snapshots
 _N = "SELECT count(*) FROM documents"
 _INDEX = [
     ("tf", D.terms("documents", "doc_id")),
-    ("voc", D.vocab("tf", _N, V.RETRIEVER_TERMS)),
+    ("voc", D.vocab("tf", _N, None)),
     ("post", D.vectors("tf", "voc")),
 ]
 _HITS = _INDEX + [
@@ -37,7 +37,7 @@ def _docs(spark, d):
 
 
 def _index(spark, d):
-    return similar.build_index(_docs(spark, d), "doc_id", "text", I.STOP_WORDS)
+    return similar.build_index(_docs(spark, d), "doc_id", "text", I.STOP_WORDS, max_terms=None)
 
 
 def _queries(spark, d, index):
@@ -47,7 +47,7 @@ def _queries(spark, d, index):
 @query("tfidf_vocab", D.with_(extra=_INDEX[:2]) + "SELECT term, total_tf, df, round(idf, 6) AS idf FROM voc")
 def tfidf_vocab(spark, d):
     counts = vectors.term_counts(_docs(spark, d), "doc_id", "text", I.STOP_WORDS)
-    v = vectors.vocabulary(counts, vectors.document_count(_docs(spark, d)), V.RETRIEVER_TERMS)
+    v = vectors.vocabulary(counts, vectors.document_count(_docs(spark, d)), None)
     return v.select("term", "total_tf", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -74,11 +74,9 @@ def similar_cases(spark, d):
 
 @query("similar_cases_pruned", D.with_(extra=_HITS) + "SELECT * FROM hits")
 def similar_cases_pruned(spark, d):
-    """The same answer with hot terms kept out of the pairing."""
-    built = _index(spark, d)
-    index = similar.TermIndex(cut_lineage(built.vocab, "vocab"), cut_lineage(built.postings, "postings"))
-    hot = max(2, I.table(spark, d, "documents").count() // 20)
-    return _shown(similar.top_k_pruned(_queries(spark, d, index), index, 3, hot_df=hot))
+    """The same answer in many small rounds."""
+    index = _index(spark, d)
+    return _shown(similar.top_k(_queries(spark, d, index), index, 3, budget=100, growth=4))
 
 
 @query("case_evidence", D.with_(extra=_HITS) + f"""SELECT query_id, rank, doc_id, similarity, md5({D.mask('text')}) AS masked_digest
@@ -139,8 +137,7 @@ def intent_calibrated(spark, d):
 def desk(spark, d) -> jobs.Desk:
     kb = I.pairs(spark, d).select("conversation_id", "customer_text", "support_reply")
     stop = vectors.standard_stop_words()
-    built = similar.build_index(kb, "conversation_id", "customer_text", stop)
-    index = similar.TermIndex(cut_lineage(built.vocab, "vocab"), cut_lineage(built.postings, "postings"))
+    index = similar.build_index(kb, "conversation_id", "customer_text", stop)
     return jobs.Desk(calibrated_model(spark, d), index, kb, stop)
 
 

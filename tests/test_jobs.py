@@ -33,7 +33,6 @@ def desk(spark, corpus):
     pairs = cut_lineage(jobs.clean_pairs(corpus), "pairs")
     stop = vectors.standard_stop_words()
     index = similar.build_index(pairs, "conversation_id", "customer_text", stop)
-    index = similar.TermIndex(cut_lineage(index.vocab, "v"), cut_lineage(index.postings, "p"))
     weak = labelling.weak_labels(pairs, "conversation_id", "customer_text")
     model = intent_model.train(weak, vectors.classifier_stop_words(), max_iter=30, folds=3)
     return jobs.Desk(model, index, pairs.select("conversation_id", "customer_text", "support_reply"), stop)

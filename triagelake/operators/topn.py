@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-_LIMIT_PUSHDOWN = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
 def top_n_per_group(
     df: DataFrame,
     keys: list[str],
@@ -22,12 +19,10 @@ def top_n_per_group(
     Groups are ranked twice: inside (group, salt), then over the at most ``salts * n``
     survivors of a group.  No row of the answer can be dropped in the first round, so the
     result is exact.  The salt is the number of the input partition, which lets Spark cut each
-    group to ``n`` rows inside every map task, before the exchange; what is left of a
-    group that holds a third of the table is then ranked by ``salts`` tasks instead of one.
+    group to ``n`` rows inside every map task, before the exchange (for n below the session's
+    ``windowGroupLimitThreshold``, 1000 by default); what is left of a group that holds a third of the
+    table is then ranked by ``salts`` tasks instead of one.
     """
-    spark = df.sparkSession
-    if int(spark.conf.get(_LIMIT_PUSHDOWN, "1000")) <= n:
-        spark.conf.set(_LIMIT_PUSHDOWN, str(n + 1))  # Spark only pushes the limit down below this size
     local = Window.partitionBy(*keys, "_salt").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     return (

@@ -111,12 +111,16 @@ def weak_rows(spark, d, per_class=V.TRAIN_PER_CLASS):
     return labelling.weak_labels(I.inbox(spark, d), "msg_id", "text", per_class)
 
 
+def uncalibrated_model(spark, d):
+    """The classifier of the keyword baseline and the rows it was fitted on."""
+    sample = labelling.weak_labels_sampled(I.inbox(spark, d), "msg_id", "text")
+    return M.train(sample, vectors.standard_stop_words(), V.BASELINE_TERMS, sublinear=False, calibrated=False), sample
+
+
 @query("intent_model")
 def intent_model(spark, d):
     """Uncalibrated classifier over the whole inbox."""
-    stop = vectors.standard_stop_words()
-    sample = labelling.weak_labels_sampled(I.inbox(spark, d), "msg_id", "text")
-    model = M.train(sample, stop, V.BASELINE_TERMS, sublinear=False, calibrated=False)
+    model, _ = uncalibrated_model(spark, d)
     out = M.with_top_class(model.posteriors(I.inbox(spark, d), "msg_id", "text"), model.classes)
     return out.select("msg_id", "model_intent", F.round("model_confidence", 4).alias("model_confidence"))
 
@@ -134,6 +138,35 @@ def intent_calibrated(spark, d):
     return out.select("msg_id", "intent", "intent_confidence")
 
 
+#: Largest entry of a gradient at which a fit counts as the optimum.
+OPTIMAL = 1e-4
+
+
+def _optimum(model, weak):
+    checked = M.optimality(model, weak)
+    return checked.select("fold", "label", "n_trained", ((F.col("gradient") < OPTIMAL) & (F.col("sigmoid_gradient") < OPTIMAL)).alias("optimal"))
+
+
+_WEAK_CAPPED = f"""SELECT label FROM (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY id) AS rn FROM (
+    SELECT msg_id AS id, {D.priority('det')} AS label FROM (SELECT msg_id, {D.detect('text')} AS det FROM inbox) WHERE len(det) > 0))
+  WHERE rn <= {V.TRAIN_PER_CLASS}"""
+
+
+@query("intent_calibrated_optimum", D.with_("inbox") + f"""SELECT fold::INTEGER AS fold, label, CASE WHEN n < 5 THEN n ELSE n - (n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END) END AS n_trained, true AS optimal
+  FROM (SELECT label, count(*) AS n FROM ({_WEAK_CAPPED}) GROUP BY label), (SELECT unnest(range(5)) AS fold)""")
+def intent_calibrated_optimum(spark, d):
+    """The calibrated classifier of `intent_calibrated` is the optimum of its rows: gradients of five fits and all sigmoids."""
+    return _optimum(calibrated_model(spark, d), weak_rows(spark, d))
+
+
+@query("intent_model_optimum", D.with_("inbox") + f"""SELECT 0 AS fold, {D.priority('det')} AS label, count(*) AS n_trained, true AS optimal FROM (
+    SELECT {D.detect('text')} AS det FROM inbox ORDER BY {D.seeded('msg_id')}, msg_id LIMIT {V.BASELINE_SAMPLE}) GROUP BY ALL""")
+def intent_model_optimum(spark, d):
+    """The classifier of `intent_model` is the optimum of its rows."""
+    return _optimum(*uncalibrated_model(spark, d))
+
+
 def desk(spark, d) -> jobs.Desk:
     kb = I.pairs(spark, d).select("conversation_id", "customer_text", "support_reply")
     stop = vectors.standard_stop_words()
@@ -146,5 +179,5 @@ def scored_messages(spark, d):
     out = jobs.score_messages(I.inbox(spark, d), desk(spark, d), "msg_id", "text")
     return out.select(
         "msg_id", "intent", "intent_confidence", "decision", "escalation_category", "reason", "reply", "top_similarity",
-        F.coalesce(F.size("evidence"), F.lit(0)).alias("n_evidence"),
+        F.size("evidence").alias("n_evidence"),
     )

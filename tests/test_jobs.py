@@ -1,5 +1,6 @@
 """End-to-end jobs, snapshots and the classifier on the small tables."""
 
+import dataclasses
 import glob
 import os
 
@@ -60,7 +61,7 @@ def test_message_scoring(spark, desk):
     assert set(got) == {"a", "b", "c", "d"}
     assert got["a"]["intent"] == "DELIVERY_STATUS_DELAY" and len(got["a"]["evidence"]) == 2
     assert got["b"]["intent"] == "ACCOUNT_SECURITY_ACCESS" and got["b"]["decision"] == "ESCALATE"
-    assert got["c"]["evidence"] is None and got["c"]["top_similarity"] == 0.0
+    assert got["c"]["evidence"] == [] and got["c"]["top_similarity"] == 0.0
     assert got["c"]["intent_confidence"] < V.CONFIDENCE_GATE
     assert got["c"]["escalation_category"] == "AMBIGUOUS_INQUIRY_NEEDS_CLARIFICATION"
     for r in got.values():
@@ -94,6 +95,35 @@ def test_model_recovers_its_weak_labels(spark, desk):
     assert got.where(F.col("label") == F.col("model_intent")).count() > 0.7 * got.count()
 
 
+def test_fit_is_the_optimum_and_folds_hold_every_class(spark, desk):
+    weak = labelling.weak_labels(desk.kb, "conversation_id", "customer_text")
+    model = intent_model.train(weak, vectors.classifier_stop_words(), folds=3)
+    got = intent_model.optimality(model, weak).collect()
+    assert len(got) == 3 * len(model.classes) and all(r["gradient"] < 1e-4 and r["sigmoid_gradient"] < 1e-6 for r in got)
+    worse = dataclasses.replace(model, intercepts=[[v + 0.1 * j for j, v in enumerate(row)] for row in model.intercepts])
+    assert max(r["gradient"] for r in intent_model.optimality(worse, weak).collect()) > 1e-3
+    dealt = intent_model.with_folds(weak, model.classes, 3, 42).groupBy("label", "fold").count().collect()
+    sizes = {}
+    for r in dealt:
+        sizes.setdefault(r["label"], []).append(r["count"])
+    assert all(max(v) - min(v) <= 1 for v in sizes.values() if len(v) == 3)
+
+
+@pytest.mark.parametrize("calibrated", [True, False])
+def test_a_class_with_one_row_trains_and_scores(spark, calibrated):
+    texts = [(i, f"parcel late number{i % 5}", "A") for i in range(9)] + [(20 + i, f"card charged twice{i % 4}", "B") for i in range(8)] + [(90, "strange zebra", "Z")]
+    weak = spark.createDataFrame(texts, "id long, text string, label string")
+    model = intent_model.train(weak, [], folds=3, calibrated=calibrated)
+    assert model.classes == ["A", "B", "Z"]
+    got = {r["id"]: r for r in intent_model.with_top_class(model.posteriors(weak, "id", "text"), model.classes).collect()}
+    assert all(len(r["posterior"]) == 3 and abs(sum(r["posterior"]) - 1) < 1e-9 for r in got.values())
+    assert got[0]["model_intent"] == "A" and got[20]["model_intent"] == "B" and (calibrated or got[90]["model_intent"] == "Z")
+    checked = intent_model.optimality(model, weak).collect()
+    assert all(r["gradient"] < 1e-4 and r["sigmoid_gradient"] < 1e-6 for r in checked) and {r["n_trained"] for r in checked if r["label"] == "Z"} == {1}
+    one = intent_model.train(weak.where("label = 'A'"), [], folds=3, calibrated=calibrated)
+    assert [r["posterior"] for r in one.posteriors(weak.limit(1), "id", "text").collect()] == [[1.0]]
+
+
 def test_sigmoid_fit_is_a_stationary_point():
     rng = np.random.default_rng(0)
     m = rng.normal(size=500)

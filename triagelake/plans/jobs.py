@@ -81,7 +81,7 @@ def score_messages(df: DataFrame, desk: Desk, id_col: str = "case_id", text_col:
     replied = with_reply(with_cues(decided), "_clean", desk.voice)
     return replied.select(
         *df.columns, "intent", "intent_confidence", "detected", "decision", "escalation_category", "reason", "reply",
-        "evidence", F.coalesce("similarity", F.lit(0.0)).alias("top_similarity"),
+        F.coalesce("evidence", F.expr(f"cast(array() as {best.schema['evidence'].dataType.simpleString()})")).alias("evidence"), F.coalesce("similarity", F.lit(0.0)).alias("top_similarity"),
     )
 
 

@@ -131,7 +131,7 @@ def stream_triage(spark, d):
 
 @query("stream_chat", _chat_sql(_CHAT_SELECT))
 def stream_chat(spark, d):
-    out = streams.chat_stream(_session_rows(I.scored_of(_inbox_stream(spark, d))))
+    out = streams.chat_stream(_session_rows(I.scored_of(_inbox_stream(spark, d))), idle=None)
     return streams.run_to_table(out, "stream-chat").select(*_CHAT_COLS)
 
 
@@ -139,7 +139,7 @@ def stream_chat(spark, d):
     SELECT CAST(conv_id AS VARCHAR) AS session_id, turn, {_STORED} AS v, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS age FROM scored)
     WHERE age <= 3 GROUP BY ALL""")
 def stream_sessions(spark, d):
-    rows = streams.session_stream(_session_rows(I.scored_of(_inbox_stream(spark, d))), max_turns=3)
+    rows = streams.session_stream(_session_rows(I.scored_of(_inbox_stream(spark, d))), max_turns=3, idle=None)
     updates = streams.run_updates_to_table(rows, "stream-sessions")
     # update mode emits a session once per trigger; the last one counts
     newest = updates.groupBy("session_id").agg(F.max_by("turns", "batch_id").alias("turns"))
@@ -148,12 +148,39 @@ def stream_sessions(spark, d):
 
 @query("stream_admission", _ADMISSION.replace("{ts}", ""))
 def stream_admission(spark, d):
-    out = streams.admission_stream(readers.event_stream(spark, d), "user_id", "ts", "event_id", limit=3, window_seconds=6 * 3600)
+    out = streams.admission_stream(readers.event_stream(spark, d), "user_id", "ts", "event_id", limit=3, window_seconds=6 * 3600, idle=None)
     return streams.run_to_table(out, "stream-admission").select(
         F.col("key").cast("long").alias("user_id"), F.col("id").alias("event_id"), "admitted"
     )
 
 
+_RESPONSES = """SELECT session_id, turn, intent, intent_confidence, decision, escalation_category, {reply} AS reply, multi_turn, follow_up, md5(past_reply) AS evidence FROM (
+    SELECT w.*, n > 1 AS multi_turn, s.past_reply FROM walk w JOIN scored s ON w.session_id = CAST(s.conv_id AS VARCHAR) AND w.turn = s.turn WHERE s.conv_id % 5 <> 0)
+  UNION ALL SELECT NULL, turn, intent, intent_confidence, decision, escalation_category, {reply}, false, false, md5(past_reply) FROM scored WHERE conv_id % 5 = 0"""
+
+
+@query("stream_chat_responses", _chat_sql(_RESPONSES.replace("{reply}", D.escape("reply"))))
+def stream_chat_responses(spark, d):
+    """Every fifth conversation comes without a session; each reply is escaped and has its evidence."""
+    rows = _session_rows(I.scored_of(_inbox_stream(spark, d))).withColumn("session_id", F.when(F.col("conv_id") % 5 != 0, F.col("session_id")))
+    hit = F.struct(F.col("msg_id").cast("string").alias("conversation_id"), "similarity", F.col("past_reply").alias("support_reply"), F.col("text").alias("customer_text"))
+    out = streams.run_to_table(streams.chat_responses(rows.withColumn("evidence", F.array(hit)), idle=None), "stream-responses")
+    return out.select(
+        "session_id", "turn", "intent", "intent_confidence", "decision", "escalation_category", "reply", "multi_turn", "follow_up",
+        F.md5(F.col("evidence")[0]["support_reply"]).alias("evidence"),
+    )
+
+
+@query("stream_activity", """WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh, event_id FROM events WHERE user_id IS NOT NULL),
+    s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM e),
+    w AS (SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS n_turns FROM s GROUP BY user_id, n)
+    SELECT user_id, epoch_us(started) AS started, epoch_us(ended) AS ended, n_turns FROM w WHERE ended <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def stream_activity(spark, d):
+    events = readers.event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    out = streams.run_to_table(streams.session_activity(events, "user_id", "ts"), "stream-activity")
+    return out.select("user_id", F.unix_micros("started").alias("started"), F.unix_micros("ended").alias("ended"), "n_turns")
+
+
 @query("stream_dedup", "SELECT event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_dedup(spark, d):
     s = readers.event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))

@@ -1,5 +1,8 @@
 """Scans, writers and streams."""
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from bindings import inputs as I
@@ -75,6 +78,43 @@ def test_sessions_across_triggers_equal_one_trigger(spark):
         for i, p in enumerate(parts):
             p.coalesce(1).write.mode("append").parquet(path)
         stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(path)
-        out = streams.run_to_table(streams.chat_stream(stream), f"chat-out-{name}")
+        out = streams.run_to_table(streams.chat_stream(stream, idle=None), f"chat-out-{name}")
         got[name] = sorted(tuple(r) for r in out.select(*cols).collect())
     assert got["one"] == got["many"] and len(got["one"]) == turns.count()
+
+
+def test_an_idle_session_is_dropped_and_starts_afresh(spark):
+    """Rows without a session are answered all the same; replies come back escaped."""
+    ddl = "session_id string, turn long, message string, intent string, intent_confidence double, decision string, escalation_category string, reason string, reply string, evidence array<struct<conversation_id:string,similarity:double,support_reply:string,customer_text:string>>"
+    path, out, checkpoint = (scratch_path(spark, x) for x in ("idle-in", "idle-out", "idle-state"))
+
+    def put(*rows):
+        full = [(s, t, "hello", "A", 0.5, "AUTO_RESPOND", "NONE", "r", "<b>ok</b>", None) for s, t in rows]
+        spark.createDataFrame(full, ddl).coalesce(1).write.mode("append").parquet(path)
+
+    def seen():
+        try:
+            return {(r["session_id"], r["turn"]): r for r in spark.read.parquet(out).collect()}
+        except AnalysisException:
+            return {}
+
+    def wait(n):
+        end = time.time() + 90
+        while len(seen()) < n:
+            assert time.time() < end
+            time.sleep(0.5)
+
+    put(("s", 0), ("s", 1), (None, 7))
+    stream = spark.readStream.schema(ddl).parquet(path)
+    query = streams.chat_responses(stream, idle="3 seconds").writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    query = query.trigger(processingTime="500 milliseconds").start()
+    try:
+        wait(3)
+        time.sleep(12)
+        put(("s", 2), ("s", 3))
+        wait(5)
+    finally:
+        query.stop()
+    got = seen()
+    assert {k: r["multi_turn"] for k, r in got.items()} == {("s", 0): False, ("s", 1): True, (None, 7): False, ("s", 2): False, ("s", 3): True}
+    assert all(r["reply"] == "&lt;b&gt;ok&lt;/b&gt;" and r["evidence"] == [] for r in got.values())

@@ -1,11 +1,13 @@
 """End-to-end jobs, snapshots and the classifier on the small tables."""
 
 import dataclasses
+import shutil
 import glob
 import os
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from bindings import inputs as I
@@ -224,3 +226,54 @@ def test_model_snapshot_gives_the_same_posteriors(spark, desk):
     b = again.posteriors(df, "conversation_id", "customer_text").orderBy("conversation_id").collect()
     for x, y in zip(a, b):
         assert x["posterior"] == pytest.approx(y["posterior"])
+
+
+def _part_files(root, version_of="numbers"):
+    return sorted(os.path.join(d, f) for d, _, files in os.walk(root) for f in files if f.endswith(".parquet") and os.path.basename(d) == version_of)
+
+
+@pytest.mark.parametrize("damage", ["garbage", "other rows", "gone", "one more"])
+def test_a_damaged_second_file_is_rebuilt_and_logged(spark, caplog, damage):
+    root = scratch_path(spark, "damaged")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return {"numbers": spark.range(0, 1000, 1, 4).withColumn("v", F.col("id") * 2), "names": spark.createDataFrame([("a",)], "n string")}, {"built": len(calls)}
+
+    snapshots.load_or_build(spark, root, build)
+    files = _part_files(root)
+    assert len(files) == 4 and "no snapshot" in caplog.text
+    crc = os.path.join(os.path.dirname(files[1]), f".{os.path.basename(files[1])}.crc")
+    if damage in ("garbage", "gone"):
+        os.remove(files[1])
+        os.remove(crc)
+    if damage == "garbage":
+        with open(files[1], "wb") as f:
+            f.write(b"not parquet at all")
+    if damage in ("other rows", "one more"):
+        other = scratch_path(spark, "other")
+        spark.range(250).withColumn("v", F.col("id") * 3).coalesce(1).write.parquet(other)
+        target = files[1] if damage == "other rows" else os.path.join(os.path.dirname(files[1]), "part-99999-more.snappy.parquet")
+        if os.path.exists(crc) and damage == "other rows":
+            os.remove(crc)
+        shutil.copy(_part_files(os.path.dirname(other), os.path.basename(other))[0], target)
+    with pytest.raises(snapshots.DamagedSnapshot):
+        snapshots.load(spark, root)
+    caplog.clear()
+    tables, meta = snapshots.load_or_build(spark, root, build)
+    assert meta == {"built": 2} and "rebuilding the snapshot" in caplog.text and tables["numbers"].agg(F.sum("v")).head()[0] == 999000
+    assert snapshots.load_or_build(spark, root, build)[1] == {"built": 2}
+
+
+def test_missing_rights_and_own_errors_surface(spark):
+    with pytest.raises(PySparkException), snapshots._reading("x"):
+        raise PySparkException("org.apache.hadoop.security.AccessControlException: Permission denied: user=a")
+    with pytest.raises(snapshots.DamagedSnapshot), snapshots._reading("x"):
+        raise PySparkException("not a parquet file")
+
+    def broken():
+        raise KeyError("own mistake")
+
+    with pytest.raises(KeyError):
+        snapshots.load_or_build(spark, scratch_path(spark, "none"), broken)

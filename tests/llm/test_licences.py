@@ -75,3 +75,39 @@ def test_header_over_lines_of_a_comment_is_found(spark):
     )
     found = licences.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).where("licence = 'Apache-2.0-header'").collect()
     assert len(found) == 1 and found[0].dice > 0.95 and found[0].n_parts == 0
+
+
+def family(name):
+    for end in ("-full", "-short", "-header", "-notice", "-text", "-long"):
+        name = name.removesuffix(end)
+    return name
+
+
+def test_one_licence_per_printed_notice(spark):
+    """All rows count: siblings that differ in a word are not named beside the printed licence."""
+    wanted = [(name, text) for name, texts in PRINTED.items() for text in texts if len(text) < 600]
+    rows = [(i, f"Some prose of a page.\n{t}\nMore prose.") for i, (_, t) in enumerate(wanted)]
+    got = {}
+    for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.licence)
+    for i, (name, text) in enumerate(wanted):
+        assert got.get(i) and all(x.startswith(name) and not x[len(name) :].startswith("-4.0") for x in got[i]) or {family(x) for x in got[i]} == {name}, (name, got.get(i), text[:80])
+
+
+def test_two_notices_apart_are_both_named(spark):
+    prose = " ".join(f"word{i} of the story" for i in range(40))
+    text = f"Licensed under CC BY-NC 4.0.\n{prose}\nReleased under the MIT License."
+    got = {r.licence for r in licences.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()}
+    assert any(x.startswith("CC-BY-NC-4.0") for x in got) and any(x.startswith("MIT") for x in got) and len({family(x) for x in got}) == 2
+
+
+def test_peaks_and_standing_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        scores, reach = rng.integers(0, 6, rng.integers(1, 30)) / 5, int(rng.integers(0, 6))
+        want = [i for i, v in enumerate(scores) if v >= 0.6 and v >= scores[max(0, i - reach) : i + reach + 1].max()]
+        assert licences._peaks(scores, 0.6, reach).tolist() == want
+        spans = [(int(s), int(s + n), int(v) / 4) for s, n, v in zip(rng.integers(0, 50, 12), rng.integers(1, 20, 12), rng.integers(0, 5, 12))]
+        stands = [not any(o[2] > m[2] and 2 * (min(o[1], m[1]) - max(o[0], m[0])) > min(o[1] - o[0], m[1] - m[0]) for o in spans) for m in spans]
+        assert licences.standing(spans).tolist() == stands
+    assert licences.standing([]).tolist() == []

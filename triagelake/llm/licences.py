@@ -170,17 +170,51 @@ def _different(places: np.ndarray, before: np.ndarray, length: int, n: int) -> n
     return np.cumsum(change[:-1])
 
 
-def _best_window(grams: np.ndarray, before: np.ndarray, member: np.ndarray, length: int, size: int, fewest: int) -> float:
-    """The best coefficient of the runs of `length` bigrams with a notice of `size`; member: the notice has the bigram."""
+def _window_scores(grams: np.ndarray, before: np.ndarray, member: np.ndarray, length: int, size: int, fewest: int) -> np.ndarray:
+    """The coefficients of all runs of `length` bigrams with a notice of `size` (none if no run can have enough); member: the notice has the bigram."""
     places = np.flatnonzero(member)
     if length < 1 or len(grams) <= length or len(places) < fewest or (places[fewest - 1 :] - places[: len(places) - fewest + 1]).min() >= length:
-        return 0.0
+        return np.zeros(0)
     common = _different(places, before, length, len(grams))
-    return float((2.0 * common / (_different(np.arange(len(grams)), before, length, len(grams)) + size)).max())
+    return 2.0 * common / (_different(np.arange(len(grams)), before, length, len(grams)) + size)
+
+
+def _best_window(grams: np.ndarray, before: np.ndarray, member: np.ndarray, length: int, size: int, fewest: int) -> float:
+    """The best coefficient of the runs of `length` bigrams."""
+    return float(_window_scores(grams, before, member, length, size, fewest).max(initial=0.0))
+
+
+def _peaks(scores: np.ndarray, least: float, reach: int) -> np.ndarray:
+    """Places that score at least `least` and no less than any place within `reach`."""
+    width = 2 * reach + 1
+    padded = np.full(-(-(len(scores) + 2 * reach) // width) * width, -1.0)
+    padded[reach : reach + len(scores)] = scores
+    blocks = padded.reshape(-1, width)
+    head = np.maximum.accumulate(blocks, axis=1).ravel()
+    tail = np.maximum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    at = np.arange(len(scores))
+    return np.flatnonzero((scores >= least) & (scores >= np.maximum(tail[at], head[at + width - 1])))
+
+
+def standing(matches: list[tuple[int, int, float]]) -> np.ndarray:
+    """Which of the matches (first word, end, coefficient) stand: none better shares more than half of the shorter one's words."""
+    if not matches:
+        return np.zeros(0, dtype=bool)
+    start, end, dice = (np.array(c) for c in zip(*matches))
+    order = np.argsort(start, kind="stable")
+    # matches of different groups share no word
+    groups = np.flatnonzero(start[order][1:] >= np.maximum.accumulate(end[order])[:-1]) + 1
+    out = np.ones(len(matches), dtype=bool)
+    for own in np.split(order, groups):
+        for i in own.tolist():
+            shared = np.minimum(end[own], end[i]) - np.maximum(start[own], start[i])
+            shorter = np.minimum(end[own] - start[own], end[i] - start[i])
+            out[i] = not ((dice[own] > dice[i]) & (2 * shared > shorter)).any()
+    return out
 
 
 def _matches(raw, offsets, notices: Notices, least: float):
-    """(document, notice, best coefficient of parts and windows, number of parts that reach `least`) of some documents."""
+    """(document, notice, best coefficient, number of parts) over the standing matches of some documents."""
     words = Words(raw, offsets, ALNUM, lower=True)
     pairs = windows(words.hashes(), 2)
     inside = np.zeros(len(pairs), dtype=bool)
@@ -189,8 +223,7 @@ def _matches(raw, offsets, notices: Notices, least: float):
     at = np.searchsorted(notices.known, pairs)
     at[at == len(notices.known)] = 0
     hit = inside & (notices.known[at] == pairs) if len(notices.known) else np.zeros(len(pairs), dtype=bool)
-    found: dict[tuple[int, int], list[float]] = {}
-    runs: dict[tuple[int, int], float] = {}
+    out: list[tuple[int, int, float, int]] = []
     # a document can reach a notice only with c >= t (size + notice) / 2 common bigrams, size >= c
     fewest = np.maximum(1, np.ceil(least / (2 - least) * notices.sizes - 1e-9)).astype(np.int64)
     for d, kinds in _possible(words.doc[: len(pairs)][hit], at[hit], notices, fewest).items():
@@ -201,6 +234,8 @@ def _matches(raw, offsets, notices: Notices, least: float):
         own, owner = notices.bigrams[mine], notices.owner[mine]
         own_hits = np.flatnonzero(np.isin(pairs[lo : hi - 1], own)) + lo
         enough = fewest[kinds].min()
+        matches: list[tuple[int, int, float]] = []
+        named: list[tuple[int, bool]] = []  # notice, whether a part
         for a, b in _segments(raw[offsets[d] : offsets[d + 1]].tobytes()):
             first = lo + int(np.searchsorted(starts, begin + a))
             last = lo + int(np.searchsorted(ends, begin + b, side="right"))
@@ -214,20 +249,31 @@ def _matches(raw, offsets, notices: Notices, least: float):
             common = Counter(owner[np.isin(own, segment)].tolist())
             for k, n in common.items():
                 if fits[k] and 2.0 * n / (size + int(notices.sizes[k])) >= least:
-                    found.setdefault((d, k), []).append(2.0 * n / (size + int(notices.sizes[k])))
+                    matches.append((first, last, 2.0 * n / (size + int(notices.sizes[k]))))
+                    named.append((k, True))
         grams = pairs[lo : hi - 1]
         before = _before(grams)
         for k in kinds:
-            dice = _best_window(grams, before, np.isin(grams, own[owner == k]), int(notices.words[k]) - 1, int(notices.sizes[k]), int(fewest[k]))
-            if dice >= least:
-                runs[d, k] = dice
-    return [(d, k, max([*found.get((d, k), []), runs.get((d, k), 0.0)]), len(found.get((d, k), []))) for d, k in sorted(found.keys() | runs.keys())]
+            many = int(notices.words[k])
+            scores = _window_scores(grams, before, np.isin(grams, own[owner == k]), many - 1, int(notices.sizes[k]), int(fewest[k]))
+            for s in _peaks(scores, least, (many - 1) // 2).tolist() if len(scores) else []:
+                matches.append((lo + s, lo + s + many, float(scores[s])))
+                named.append((k, False))
+        best: dict[int, list] = {}
+        for (k, part), (_, _, dice), stands in zip(named, matches, standing(matches).tolist()):
+            if stands:
+                now = best.setdefault(k, [0.0, 0])
+                best[k] = [max(now[0], dice), now[1] + part]
+        out += [(d, k, dice, n) for k, (dice, n) in sorted(best.items())]
+    return out
 
 
 def scan_licences(docs: DataFrame, *, key: str = "doc_id", text: str = "text", notices: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """(key, licence, dice, n_parts): one row per document and notice with a part or window at or over `least`.
+    """(key, licence, dice, n_parts): one row per document and notice that a part or window of the text matches best.
 
-    dice is the best coefficient of a part or window, n_parts the number of parts that reach `least` (0: only windows do).  Words are ASCII letters (case
+    A match is a part or window with a coefficient of at least `least`.  It stands if no better match shares more than half of
+    the shorter one's words, so of notices that differ in a word only the printed one is named; equally good ones are all named.
+    dice is the best coefficient of the standing matches, n_parts the number of parts among them (0: only windows).  Words are ASCII letters (case
     folded), digits and all characters beyond ASCII.  Null, empty and one-word texts match nothing; repeated rows match
     each for itself; other columns of docs are not read; an empty table or no notices give an empty result.
     """

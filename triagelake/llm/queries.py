@@ -174,9 +174,11 @@ nw AS (SELECT licence, regexp_extract_all(lower(t), '[^\x00-\x2F\x3A-\x60\x7B-\x
 ng AS (SELECT DISTINCT licence, w[i] || ' ' || w[i + 1] AS g FROM (SELECT licence, w, unnest(range(1, len(w))) AS i FROM nw)),
 ns AS (SELECT licence, count(*) AS n FROM ng GROUP BY licence),
 scored AS (
-  SELECT doc_id, licence, 2.0::DOUBLE * count(*) / (any_value(size.n) + any_value(ns.n)) AS dice
-  FROM grams JOIN ng USING (g) JOIN size USING (doc_id, a, b) JOIN ns USING (licence) GROUP BY doc_id, a, b, licence)
-SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_parts FROM scored WHERE dice >= 0.75 GROUP BY doc_id, licence
+  SELECT doc_id, a, b, licence, 2.0::DOUBLE * count(*) / (any_value(size.n) + any_value(ns.n)) AS dice
+  FROM grams JOIN ng USING (g) JOIN size USING (doc_id, a, b) JOIN ns USING (licence) GROUP BY doc_id, a, b, licence HAVING dice >= 0.75)
+SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_parts FROM scored s
+WHERE NOT EXISTS (SELECT 1 FROM scored o WHERE o.doc_id = s.doc_id AND o.dice > s.dice AND 2 * (least(o.b, s.b) - greatest(o.a, s.a)) > least(o.b - o.a, s.b - s.a))
+GROUP BY doc_id, licence
 """
 
 

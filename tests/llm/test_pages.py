@@ -28,3 +28,31 @@ def test_small_hinted_parts_stay_out(part):
 def test_a_long_ad_beside_a_short_article_stays_out():
     ad = "<div class='ad'>Buy our boats, they are long and they are cheap and they float.</div>"
     assert pages.main_text(f"<body>{ad}<article><h1>Boats sink.</h1><p><b>Two boats sank.</b><br></p></article></body>") == "Boats sink. Two boats sank."
+
+
+COMMENT = "<p>I live by such a river and I can tell you that the water is cold all year, even in a long and hot summer like the last one.</p>"
+
+
+@pytest.mark.parametrize("part", [
+    "<section aria-label='Comments'>{0}</section>", "<section aria-label='Reader comments'>{0}</section>", "<div data-component='comments'>{0}</div>",
+    "<div itemprop='comment'>{0}</div>", "<h3>Comments</h3>{0}", "<div><h4>12 comments</h4><div>{0}</div></div>", "<h2>Reader comments (2)</h2><h3>Ann</h3>{0}",
+])
+def test_reader_comments_stay_out(part):
+    assert pages.main_text(f"<body><article>{BODY}{part.format(COMMENT)}</article></body>") == TEXT
+
+
+def test_text_behind_the_comments_and_prose_labels_stay():
+    more = "<h2>Lakes</h2><p>A lake is a body of water that is larger and deeper than a pond.</p>"
+    assert pages.main_text(f"<article>{BODY}<h2>Comments</h2>{COMMENT}{more}</article>") == f"{TEXT} Lakes A lake is a body of water that is larger and deeper than a pond."
+    assert pages.main_text(f"<article>{BODY}<section aria-label='How rivers form and share their water'>{more}</section></article>").endswith("than a pond.")
+    assert pages.main_text(f"<article><h1>Comments</h1>{COMMENT}</article>").startswith("Comments I live")
+
+
+def test_deep_pages_take_linear_time():
+    from time import process_time
+
+    began = process_time()
+    for piece in ("<div class='nav'>a", "<div><p>a<span>", "<section>a<b>", "<article id='comments'>a"):
+        pages.main_text(piece * 100_000)
+    assert process_time() - began < 60
+    pages.main_text("<b>" * 100_000 + "</i>" * 100_000 + "</b>" * 100_000)

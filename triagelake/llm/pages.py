@@ -5,7 +5,7 @@ characters over its tags; the ratios are smoothed along the page, and lines at o
 form the content cluster.  The region is the innermost element that holds most of the cluster, an article or main element
 before others.  All its lines belong to the text, short ones too, except those inside boilerplate elements.
 
-What a class or id is called, and a form, are hints only: layout wrappers have such names too.  An element under a hint is
+What a class, id, item property, data attribute or short label is called, and a form, are hints only: layout wrappers have such names too.  An element under a hint is
 boilerplate unless it holds a main element, the article with most clustered characters, or half of the characters of a first
 cluster in which hints do not count (nearly all of them if it stands beside an article that is under no hint).
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -41,6 +42,11 @@ HINTS = frozenset(
     " login comment comments respond replies disqus share sharing social related recommended widget pagination pager search form skip".split()
 )
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+NAME_CHARS = 40
+LABEL_WORDS = 3
+HEADINGS = frozenset("h2 h3 h4 h5 h6".split())
+#: A heading over reader comments: they end at the next heading of its rank or with the element around it.
+COMMENT_HEADING = re.compile(r"(?i)(?:(?:reader|user|visitor)s?['\u2019]? )?comments?(?: ?\([0-9]+\)| ?: ?[0-9]+)?|[0-9]+ (?:comments?|repl(?:y|ies)|responses?)|leave a (?:comment|reply)|join the (?:conversation|discussion)")
 
 
 def _named_boilerplate(attrs: dict[str, str | None]) -> bool:
@@ -56,38 +62,77 @@ def _named_boilerplate(attrs: dict[str, str | None]) -> bool:
 def _hinted(tag: str, attrs: dict[str, str | None]) -> bool:
     if tag == "form" or (attrs.get("role") or "").lower() == "form":
         return True
-    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return any(w.lower() in HINTS for w in _WORDS.findall(names))
+    names = [attrs.get("class"), attrs.get("id"), attrs.get("itemprop"), attrs.get("itemtype")]
+    names += [v for k, v in attrs.items() if k.startswith("data-") and len(v or "") <= NAME_CHARS]
+    if any(w.lower() in HINTS for name in names if name for w in _WORDS.findall(name)):
+        return True
+    label = _WORDS.findall(attrs.get("aria-label") or "")  # prose: only a short one is a name
+    return len(label) <= LABEL_WORDS and any(w.lower() in HINTS for w in label)
 
 
 class _Line(NamedTuple):
     text: str
     tags: int
-    regions: tuple[int, ...]
+    region: int  # innermost region and hinted element around it, or -1
+    hint: int
     dropped: bool
-    hints: tuple[int, ...]
+
+
+class _Nest:
+    """Elements of one sort, numbered as they open.  Those inside number r are r .. ends[r] - 1."""
+
+    def __init__(self):
+        self.open: list[int] = []
+        self.parents: list[int] = []
+        self.ends: list[int] = []
+
+    def enter(self) -> int:
+        self.parents.append(self.inner)
+        self.ends.append(-1)
+        self.open.append(len(self.parents) - 1)
+        return self.open[-1]
+
+    def leave(self):
+        self.ends[self.open.pop()] = len(self.parents)
+
+    @property
+    def inner(self) -> int:
+        return self.open[-1] if self.open else -1
+
+    def holds(self, outer: int, number: int) -> bool:
+        return outer <= number < self.ends[outer]
+
+    def totals(self, own: list[int]) -> list[int]:
+        """Per element: what it and all inside it have, from what each has itself."""
+        sums = [0, *accumulate(own)]
+        return [sums[e] - sums[r] for r, e in enumerate(self.ends)]
 
 
 class _Lines(HTMLParser):
-    """Lines with the numbers of the regions and of the hinted elements around them."""
+    """Lines with the regions and the hinted elements around them; each event costs the same at any depth."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, opens boilerplate, region number or -1
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, opens boilerplate, a region, a hinted element
+        self.places: dict[str, list[int]] = {}  # depths of the open elements of a tag
+        self.blocks: list[int] = []  # depths of the open elements that are not inline
         self.kinds: list[str] = []
-        self.hints: list[int] = []  # open hinted elements, as their depths
-        self.numbers: list[int] = []  # and as their numbers
-        self.n_hints = 0
-        self.around: dict[int, tuple[int, ...]] = {}  # hinted elements around each article and main
+        self.regions, self.hints = _Nest(), _Nest()
+        self.hint_region: list[int] = []  # region around each hinted element
+        self.around: dict[int, int] = {}  # hinted element around each article and main
         self.lines: list[_Line] = []
         self.parts: list[str] = []
+        self.muted: tuple[int, str] | None = None  # depth and tag of a heading over reader comments
         self.tags = 0
         self.silent = self.dropped = self.articles = 0
 
+    def _text(self) -> str:
+        return " ".join("".join(self.parts).split())
+
     def _end_line(self):
-        text = " ".join("".join(self.parts).split())
+        text = self._text()
         if text:
-            self.lines.append(_Line(text, self.tags, tuple(r for _, _, r in self.stack if r >= 0), self.dropped > 0, tuple(self.numbers)))
+            self.lines.append(_Line(text, self.tags, self.regions.inner, self.hints.inner, self.dropped > 0 or self.muted is not None))
             self.tags = 0
         self.parts = []
 
@@ -95,24 +140,28 @@ class _Lines(HTMLParser):
         if tag not in INLINE:
             self._end_line()
         self.tags += 1
-        if tag in CLOSES_P and any(t == "p" for t, _, _ in self.stack):
+        if tag in CLOSES_P and self.places.get("p"):
             self._close("p")
         if tag in VOID:
             return
+        if self.muted and tag in HEADINGS and tag <= self.muted[1]:
+            self.muted = None
         named = dict(attrs)
         inner = tag not in ("html", "body", "article", "main")
         drop = tag in BOILERPLATE or (tag == "header" and not self.articles) or (inner and _named_boilerplate(named))
-        region = -1
+        hinted = inner and not drop and _hinted(tag, named)
         if tag in REGIONS:
-            region = len(self.kinds)
+            region = self.regions.enter()
             self.kinds.append(tag)
-        if inner and not drop and _hinted(tag, named):
-            self.hints.append(len(self.stack))
-            self.numbers.append(self.n_hints)
-            self.n_hints += 1
+        if hinted:
+            self.hints.enter()
+            self.hint_region.append(self.regions.inner)
         if tag in ("article", "main"):
-            self.around[region] = tuple(self.numbers)
-        self.stack.append((tag, drop, region))
+            self.around[region] = self.hints.inner
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, drop, tag in REGIONS, hinted))
         self.dropped += drop
         self.silent += tag in SILENT
         self.articles += tag in ("article", "main")
@@ -123,22 +172,30 @@ class _Lines(HTMLParser):
 
     def _close(self, tag):
         while self.stack:
-            t, drop, _ = self.stack.pop()
-            if self.hints and self.hints[-1] == len(self.stack):
-                self.hints.pop()
-                self.numbers.pop()
+            t, drop, region, hinted = self.stack.pop()
+            self.places[t].pop()
+            if t not in INLINE:
+                self.blocks.pop()
+            if region:
+                self.regions.leave()
+            if hinted:
+                self.hints.leave()
             self.dropped -= drop
             self.silent -= t in SILENT
             self.articles -= t in ("article", "main")
+            if self.muted and len(self.stack) < self.muted[0]:
+                self.muted = None
             if t == tag:
                 return
 
     def handle_endtag(self, tag):
+        if tag in HEADINGS and self.places.get(tag) and not self.muted and COMMENT_HEADING.fullmatch(self._text()):
+            self.muted = (self.places[tag][-1], tag)
         if tag not in INLINE:
             self._end_line()
         self.tags += 1
-        if any(t == tag for t, _, _ in self.stack):
-            if tag in INLINE and any(t not in INLINE for t, _, _ in self.stack[_last(self.stack, tag) :]):
+        if self.places.get(tag):
+            if tag in INLINE and self.blocks and self.blocks[-1] > self.places[tag][-1]:
                 return  # a stray inline end does not close blocks
             self._close(tag)
 
@@ -149,10 +206,9 @@ class _Lines(HTMLParser):
     def finish(self):
         self.close()
         self._end_line()
-
-
-def _last(stack, tag) -> int:
-    return max(i for i, (t, _, _) in enumerate(stack) if t == tag)
+        for nest in (self.regions, self.hints):
+            while nest.open:
+                nest.leave()
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -172,29 +228,41 @@ def content_lines(lines) -> np.ndarray:
 
 def _settled(parser: _Lines) -> list[_Line]:
     """The lines, those in hinted elements dropped unless the cluster lies in the element."""
-    if not parser.n_hints or not parser.lines:
+    regions, hints = parser.regions, parser.hints
+    if not hints.parents or not parser.lines:
         return parser.lines
-    inside: dict[int, int] = {}
-    held = {r: [0, 0] for r in parser.around}  # clustered and other characters
-    enclosed: set[tuple[int, int]] = set()
+    in_hint, clustered, other = ([0] * len(n.parents) for n in (hints, regions, regions))
     total = 0
     for x, chosen in zip(parser.lines, content_lines(parser.lines)):
-        total += chosen and len(x.text)
-        own = [r for r in x.regions if r in held]
-        for r in own:
-            held[r][not chosen] += not x.dropped and len(x.text)
-        for h in x.hints:
-            inside[h] = inside.get(h, 0) + (chosen and len(x.text))
-            enclosed.update((h, r) for r in own if h not in parser.around[r])
-    best = max(held, key=lambda r: (*held[r], -r), default=None)
-    kept = {h for h, w in inside.items() if 2 * w >= total}
-    if best is not None and any(held[best]):
-        if not parser.around[best]:
+        size = len(x.text)
+        if chosen:
+            total += size
+            if x.hint >= 0:
+                in_hint[x.hint] += size
+        if x.region >= 0 and not x.dropped:
+            (clustered if chosen else other)[x.region] += size
+    inside, clustered, other = hints.totals(in_hint), regions.totals(clustered), regions.totals(other)
+    best = max(parser.around, key=lambda r: (clustered[r], other[r], -r), default=None)
+    kept = {h for h, w in enumerate(inside) if 2 * w >= total}
+    forced: set[int] = set()
+
+    def force(h):
+        while h >= 0 and h not in forced:
+            forced.add(h)
+            h = hints.parents[h]
+
+    if best is not None and (clustered[best] or other[best]):
+        if parser.around[best] < 0:
             # an article outside of all hints: what lies beside it needs nearly all of the cluster
-            kept = {h for h in kept if (h, best) in enclosed or inside[h] >= NEARLY_ALL * total}
-        kept.update(parser.around[best])
-    kept.update(h for r, own in parser.around.items() if parser.kinds[r] == "main" for h in own)
-    return [x._replace(dropped=x.dropped or not kept.issuperset(x.hints)) for x in parser.lines]
+            kept = {h for h in kept if regions.holds(best, parser.hint_region[h]) or inside[h] >= NEARLY_ALL * total}
+        force(parser.around[best])
+    for r, h in parser.around.items():
+        if parser.kinds[r] == "main":
+            force(h)
+    sound: list[bool] = []  # kept, and all around it too
+    for h, parent in enumerate(hints.parents):
+        sound.append((h in kept or h in forced) and (parent < 0 or sound[parent]))
+    return [x._replace(dropped=x.dropped or (x.hint >= 0 and not sound[x.hint])) for x in parser.lines]
 
 
 def main_text(html: str | None) -> str:
@@ -207,23 +275,24 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     cluster = content_lines(lines)
-    weight: dict[int, int] = {}
+    own = [0] * len(parser.kinds)
     total = 0
     for x, chosen in zip(lines, cluster):
         if chosen and not x.dropped:
             total += len(x.text)
-            for r in x.regions:
-                weight[r] = weight.get(r, 0) + len(x.text)
+            if x.region >= 0:
+                own[x.region] += len(x.text)
     region = None
     if total:
-        strong = [r for r, w in weight.items() if parser.kinds[r] in ("article", "main") and w >= 0.5 * total]
-        wide = [r for r, w in weight.items() if w >= MOST * total]
+        weight = parser.regions.totals(own)
+        strong = [r for r, w in enumerate(weight) if parser.kinds[r] in ("article", "main") and w >= 0.5 * total]
+        wide = [r for r, w in enumerate(weight) if w >= MOST * total]
         named = [r for r in strong if parser.kinds[r] == "article"] or strong
         region = max(named) if named else max(wide) if wide else None
     else:
         articles = [r for r, k in enumerate(parser.kinds) if k in ("article", "main")]
         region = articles[0] if articles else None
-    return " ".join(x.text for x in lines if not x.dropped and (region is None or region in x.regions))
+    return " ".join(x.text for x in lines if not x.dropped and (region is None or parser.regions.holds(region, x.region)))
 
 
 def extract(pages: DataFrame, *, html: str = "html", keep: list[str] | None = None) -> DataFrame:

@@ -60,13 +60,23 @@ def _located(gaps: str) -> Column:
     return F.when(F.size(gaps) > 0, located).otherwise(F.expr(f"cast(array() as {spans})"))
 
 
+def _touched(x: Column, strong: str) -> Column:
+    """Whether the range touches one of the strong ones, which are apart and in order: the first that ends behind its start decides."""
+    def halve(acc, _):
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        behind = F.get(F.col(strong), middle)["end"] > x["start"]
+        low = F.when((acc["low"] < acc["high"]) & ~behind, middle + 1).otherwise(acc["low"])
+        high = F.when((acc["low"] < acc["high"]) & behind, middle).otherwise(acc["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    rounds = F.sequence(F.lit(0), F.floor(F.log2(F.size(strong) + 1)).cast("int"))
+    at = F.aggregate(rounds, F.struct(F.lit(0).alias("low"), F.size(strong).alias("high")), halve)["low"]
+    return F.coalesce(F.get(F.col(strong), at)["start"] < x["end"], F.lit(False))
+
+
 def _apart(weak: str, *strong: str) -> Column:
     """The weak ranges that touch no strong one."""
-    def free(x):
-        touched = [F.exists(s, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])) for s in strong]
-        return ~reduce(or_, touched)
-
-    return F.filter(weak, free)
+    return F.filter(weak, lambda x: ~reduce(or_, [(F.size(s) > 0) & _touched(x, s) for s in strong]))
 
 
 def row_parts(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:

@@ -166,6 +166,20 @@ def transcripts(spark, d) -> DataFrame:
     )
 
 
+def whole_transcripts(spark, d) -> DataFrame:
+    """(company, conversation_id, conversation): one transcript per conversation with all its turns."""
+    t = with_keys(table(spark, d, "conversations"))
+    line = (
+        F.when(F.col("role") == "user", F.concat(F.lit("Customer: "), message_text()))
+        .when(F.col("role") == "assistant", F.concat(F.lit("Support: "), reply_text()))
+        .otherwise(F.concat(F.lit("System: "), F.col("text")))
+    )
+    lines = F.sort_array(F.collect_list(F.struct("turn", line.alias("line"))))
+    return t.groupBy(F.col("brand").alias("company"), F.col("conv_id").alias("conversation_id")).agg(
+        F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("conversation")
+    )
+
+
 def turn_threads(spark, d) -> DataFrame:
     """Thread rows (brand, conversation_id, first texts, turn_count) of whole conversations."""
     from triagelake.operators.turns import threads_from_turn_rows

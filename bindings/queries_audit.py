@@ -117,12 +117,15 @@ _MEASURES = [
 _W = V.SCORECARD_WEIGHTS
 
 
-@query("brand_scorecard", D.with_("threads", extra=_MEASURES) + f"""SELECT * EXCLUDE (u, dv, t), round(u, 1) AS usable_conv_score, round(dv, 1) AS diversity_score,
+SCORECARD_SQL = f"""SELECT * EXCLUDE (u, dv, t), round(u, 1) AS usable_conv_score, round(dv, 1) AS diversity_score,
     round(t, 1) AS thread_richness_score, round({_W['usable_conversations']} * u + {_W['resolution_coverage']} * resolution_cov_pct + {_W['issue_diversity']} * dv
       + {_W['thread_richness']} * t + {_W['data_quality']} * data_quality_score + {_W['evaluation_difficulty']} * diff_balance_score, 2) AS composite_score
     FROM (SELECT *, ln(total_conversations) / ln(max(total_conversations) OVER ()) * 100 AS u,
       (vocab_entropy - min(vocab_entropy) OVER ()) / (max(vocab_entropy) OVER () - min(vocab_entropy) OVER () + 1e-5) * 40 + 60 AS dv,
-      (multi_turn_pct - min(multi_turn_pct) OVER ()) / (max(multi_turn_pct) OVER () - min(multi_turn_pct) OVER () + 1e-5) * 40 + 60 AS t FROM meas)""")
+      (multi_turn_pct - min(multi_turn_pct) OVER ()) / (max(multi_turn_pct) OVER () - min(multi_turn_pct) OVER () + 1e-5) * 40 + 60 AS t FROM meas)"""
+
+
+@query("brand_scorecard", D.with_("threads", extra=_MEASURES) + SCORECARD_SQL)
 def brand_scorecard(spark, d):
     return brand_audit.scorecard(brand_audit.brand_measures(I.turn_threads(spark, d))).drop("sample_size")
 

@@ -11,6 +11,7 @@ from triagelake import brand_voice as B
 from triagelake import fixed_values as V
 from triagelake.functions.rules import RulePack
 from triagelake.functions.text import clean_for_query, signature, strip_negated
+from triagelake.operators.rule_tables import match_rules
 from triagelake.operators import intents, overlap, replies, rubric, triage
 
 
@@ -56,6 +57,20 @@ def rule_table_join(spark, d):
     )
 
 
+_WORDS = """words AS MATERIALIZED (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM conversations))"""
+
+
+@query("rule_index_join", D.with_("inbox") + ", " + _WORDS + """ SELECT word AS rule, msg_id FROM words JOIN (SELECT msg_id, lower(text) || ' ' AS t FROM inbox)
+    ON contains(t, ' ' || word || ' ') OR contains(t, ' ' || word || 's ') OR contains(t, ' ' || word || 'ed ')
+      OR contains(t, ' the ' || word || ',') OR contains(t, ' the ' || word || '.')""")
+def rule_index_join(spark, d):
+    """As many rules as the conversations have words, each with a suffix and an alternative, against every message."""
+    words = I.turn_rows(spark, d).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("rule")).distinct()
+    rules = words.withColumn("pattern", F.concat(F.lit(" ("), "rule", F.lit("(s|ed)? |the "), "rule", F.lit("[.,])")))
+    box = I.inbox(spark, d).select("msg_id", F.concat("text", F.lit(" ")).alias("text"))
+    return match_rules(box, rules, "msg_id")
+
+
 @query("risk_category", D.with_("found") + f"SELECT msg_id, coalesce({D.risk('clean')}, 'NONE') AS category FROM found")
 def risk_category(spark, d):
     t = clean_for_query(F.col("text"))

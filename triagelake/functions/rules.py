@@ -72,11 +72,12 @@ class RulePack:
         """Compile a small rule table (one row per rule, ordered by position).
 
         The table is configuration, so its size is checked before it reaches the
-        driver; a pack that is too long for one expression is refused.
+        driver; a pack that is too long for one expression is refused
+        (``operators.rule_tables.match_rules`` joins tables of any size).
         """
         rows = rules.select(position, label, pattern).orderBy(position).limit(cls.MAX_TABLE_RULES + 1).collect()
         if len(rows) > cls.MAX_TABLE_RULES:
-            raise ValueError(f"a rule table may hold at most {cls.MAX_TABLE_RULES} rules")
+            raise ValueError(f"a pack holds at most {cls.MAX_TABLE_RULES} rules; operators.rule_tables.match_rules takes tables of any size")
         return cls(tuple(Rule(r[label], r[pattern]) for r in rows))
 
     @property

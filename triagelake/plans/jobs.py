@@ -19,7 +19,7 @@ from triagelake.operators.sampling import holdout_split, stratified_cases
 from triagelake.operators.similar import TermIndex, evidence, top_k, with_case_texts
 from triagelake.operators.topn import keep_first
 from triagelake.operators.turns import strict_turns, threads_from_transcripts
-from triagelake.session import cut_lineage
+from triagelake.session import cut_lineage, run_folder
 from triagelake.sources import writers
 
 
@@ -46,13 +46,14 @@ def clean_pairs(conversations: DataFrame, brand: str | None = None) -> DataFrame
 def prepare_corpus(
     conversations: DataFrame, out: str, brand: str | None = None, holdout: int = V.HOLDOUT_SIZE, seed: int = V.SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the disjoint holdout pool and knowledge base; returns both as read back."""
+    """Write the disjoint holdout pool and knowledge base; returns both as read back.  No scratch table stays."""
     spark = conversations.sparkSession
-    pairs = cut_lineage(clean_pairs(conversations, brand), "clean-pairs")
-    pool, kb = holdout_split(pairs, "conversation_id", holdout, seed)
-    assert_disjoint(pool, kb, "conversation_id")
-    writers.write_parquet(pool, f"{out}/holdout")
-    writers.write_parquet(kb, f"{out}/kb")
+    with run_folder(spark, "corpus"):
+        pairs = cut_lineage(clean_pairs(conversations, brand), "clean-pairs")
+        pool, kb = holdout_split(pairs, "conversation_id", holdout, seed)
+        assert_disjoint(pool, kb, "conversation_id")
+        writers.write_parquet(pool, f"{out}/holdout")
+        writers.write_parquet(kb, f"{out}/kb")
     return spark.read.parquet(f"{out}/holdout"), spark.read.parquet(f"{out}/kb")
 
 
@@ -198,14 +199,15 @@ def evaluation_report(rows: DataFrame, labels: list[str] = V.INTENTS) -> DataFra
 
 
 def evaluate(gold: DataFrame, systems: dict[str, DataFrame], out: str | None = None) -> DataFrame:
-    """The long report; also written as JSON together with its side-by-side form."""
-    rows = cut_lineage(evaluation_rows(gold, systems), "evaluation-rows")
-    report = evaluation_report(rows)
-    if out:
-        report = cut_lineage(report, "evaluation-report")
+    """The long report.  With out it is written as JSON, next to its side-by-side form, and read back: no scratch table stays."""
+    if out is None:
+        return evaluation_report(cut_lineage(evaluation_rows(gold, systems), "evaluation-rows"))
+    spark = gold.sparkSession
+    with run_folder(spark, "evaluation"):
+        report = cut_lineage(evaluation_report(cut_lineage(evaluation_rows(gold, systems), "evaluation-rows")), "evaluation-report")
         writers.write_json(report, f"{out}/metrics.json")
         writers.write_csv(metrics.side_by_side(report, list(systems)), f"{out}/side_by_side.csv")
-    return report
+    return spark.read.schema(report.schema).json(f"{out}/metrics.json")
 
 
 def analyse_failures(gold: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -7,16 +7,19 @@ import pytest
 
 from bindings import inputs as I
 from tests.conftest import SF
+from triagelake import session
 from triagelake.plans import jobs
-from triagelake.session import RUN_PREFIX, cut_lineage, run_folder, scratch_path, shared_folder, sweep_runs
+from triagelake.session import RUN_PREFIX, cut_lineage, run_folder, scratch_path, sweep_runs
 
 
 def _root(spark):
-    return shared_folder(spark).removeprefix("file:")
+    return session.shared_folder(spark).removeprefix("file:")
 
 
-def _runs(spark):
-    return [n for n in os.listdir(_root(spark)) if n.startswith(RUN_PREFIX)]
+@pytest.fixture(autouse=True)
+def own_folder(monkeypatch, tmp_path):
+    """A shared folder for each test alone."""
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"file:{tmp_path}")
 
 
 def test_a_run_ends_without_its_tables(spark):
@@ -46,7 +49,12 @@ def test_jobs_leave_no_scratch(spark):
     assert set(os.listdir(_root(spark))) - before == {os.path.basename(out)}
     with pytest.raises(Exception):
         jobs.prepare_corpus(I.whole_transcripts(spark, SF).drop("conversation"), f"{out}-none", holdout=5)
-    assert _runs(spark) == []
+    assert os.listdir(_root(spark)) == [os.path.basename(out)]
+
+
+def test_a_local_session_without_a_folder_gets_one(spark):
+    folder = session._own_folder(spark)
+    assert os.path.isdir(folder.removeprefix("file:")) and session._own_folder(spark) == folder
 
 
 def test_sweep_takes_old_runs_of_others_only(spark):

@@ -35,6 +35,7 @@ def local_session(cores: str = "8", **conf: str) -> SparkSession:
 
 RUN_PREFIX = "run-"
 _log = logging.getLogger(__name__)
+_own: dict[str, str] = {}  # folders of local sessions without a shared one, by application
 _run: ContextVar[str | None] = ContextVar("triagelake_run", default=None)
 
 
@@ -51,12 +52,18 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = f"file:{tempfile.gettempdir()}/triagelake-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"
-    files, path = _files(spark, folder)
-    files.mkdirs(path)
-    files.deleteOnExit(path)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        folder = f"file:{tempfile.gettempdir()}/triagelake-{app}-{uuid.uuid4().hex[:12]}"
+        files, path = _files(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own[app] = folder
+    return _own[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,9 +1,14 @@
 """Personal data: fixed patterns, and a character tagger that is trained on their spans and adds what they miss.
 
-The tagger (bidirectional LSTM with CRF transitions) reads overlapping windows.  Every kind has a digit or '@', so a window
-without either holds none and is not decoded.  Windows of a text are reconciled as one: spans of neighbouring windows that
-overlap are joined, and the heaviest set of spans that do not overlap is kept.  A span of the tagger must also be sound for
-its kind (check digit, ranges, number of digits); it never touches a span of the fixed patterns, which always stay.
+The tagger (bidirectional LSTM with CRF transitions) reads overlapping windows.  Every kind has a digit, an '@' or a bracketed
+'at', so a window without these holds none and is not decoded.  Windows of a text are reconciled as one: spans of neighbouring
+windows that overlap are joined, and the heaviest set of spans that do not overlap is kept.  Ends of a span move to the ends of
+the words or of the address they cut.  A span of the tagger must also be sound for its kind (check digit, ranges, number of digits); it never
+touches a span of the fixed patterns, which always stay.
+
+Values in other spellings than the patterns' are learnt from altered copies of the labelled spans: numbers with other
+separators, phones without '+', addresses with blanks, brackets or a spelled 'at' and 'dot' (`altered`).  Windows with other
+numbers in their place (dates, prices, measures, references; `decoy`) are marked as holding nothing.
 
 Spans are looked for in all documents.  Training rows are at most `windows` windows with spans and as many without, those of
 the lowest hashes; every kind has an equal share of the windows with spans first, so a kind that occurs is trained on.
@@ -17,6 +22,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +35,10 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 96, 48
 WINDOWS = 400
 PLAIN = len(KINDS)
-MARGIN = 4.0
+MARGIN = 2.0
 AT_ONCE = 512
+COPIES = 3
+LONGEST = 320
 SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -39,7 +47,14 @@ _LOCAL_CHAR = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_EVIDENCE = re.compile(r"[0-9@]")
+_AT = r"(?:@|[(\[{<]\s?at\s?[)\]}>])"
+_DOT = r"(?:\.|[(\[{<]\s?(?:dot|\.)\s?[)\]}>]|\sdot\s)"
+_ADDRESS = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}\s*{_AT}\s*[A-Za-z0-9-]+(?:\s*{_DOT}\s*[A-Za-z0-9-]+)*\s*{_DOT}\s*[A-Za-z]{{2,24}}", re.IGNORECASE)
+_IP_GAP = re.compile(rf"\s*{_DOT}\s*", re.IGNORECASE)
+_PLAIN_PHONE = re.compile(r"\+?\(?[0-9](?:[^0-9A-Za-z:,;@#%]{0,5}[0-9])+")
+_JOINED_BEFORE, _JOINED_AFTER = re.compile(r"[0-9][-./:]$|#$"), re.compile(r"[-./:][0-9]")
+_SPELLED = r"(?i)[(\[{<]\s?at\s?[)\]}>]"
+_EVIDENCE = re.compile(rf"(?i)[0-9@]|{_SPELLED[4:]}", re.ASCII)
 _HAS_EVIDENCE = np.zeros(256, dtype=bool)
 _HAS_EVIDENCE[[*range(0x30, 0x3A), 0x40]] = True
 
@@ -92,19 +107,108 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def sound(kind: int, text: str, start: int, end: int) -> bool:
-    """A tagged span is a plausible whole value of its kind."""
+    """A tagged span is a plausible whole value of its kind: form, ranges, check digit, number of digits."""
+    if end - start > LONGEST:
+        return False
     body = text[start:end]
     d = _digits(body)
     if text[start - 1 : start].isdigit() and body[:1].isdigit() or text[end : end + 1].isdigit() and body[-1:].isdigit():
         return False
     if kind == 0:
-        return re.fullmatch(r"[^\s@]+\s?@\s?[^\s@]+\.[A-Za-z][A-Za-z-]+", body) is not None
+        return _ADDRESS.fullmatch(body) is not None
+    if not body.isascii() and re.search(r"[^\W_]", re.sub(r"[\x00-\x7F]", "", body)):
+        return False
     if kind == 1:
         parts = re.split(r"[^0-9]+", body)
-        return len(parts) == 4 and all(p and _small(p) for p in parts) and "." in body
+        return len(parts) == 4 and all(p and _small(p) for p in parts) and all(_IP_GAP.fullmatch(g) for g in re.findall(r"[^0-9]+", body))
     if kind == 2:
-        return 14 <= len(d) <= 19 and luhn(d) and re.fullmatch(r"[0-9](?:[^0-9A-Za-z]{0,2}[0-9])+", body) is not None
-    return 10 <= len(d) <= 15 and re.fullmatch(r"\+?\(?[0-9](?:[^0-9A-Za-z]{0,3}[0-9])+", body) is not None and re.search(r"[0-9][^0-9]+[0-9]", body) is not None and ("(" in body or body[0] == "+")
+        return 14 <= len(d) <= 19 and luhn(d) and re.fullmatch(r"[0-9](?:[^0-9A-Za-z]{0,3}[0-9])+", body) is not None
+    # a part of a longer row of numbers (a date with its time, a reference) is not whole; only the first group has one digit
+    if _JOINED_BEFORE.search(text[max(0, start - 2) : start]) or _JOINED_AFTER.match(text[end : end + 2]):
+        return False
+    groups = re.findall(r"[0-9]+", body.removeprefix("00"))
+    return 10 <= len(d) <= 15 and len(groups) > 1 and min(map(len, groups[1:])) > 1 and _PLAIN_PHONE.fullmatch(body) is not None
+
+
+def settled(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without blanks and punctuation at its ends, and with the whole words (up to 64 characters) that it cuts; of an address, its form in the span."""
+    own = _LOCAL_CHAR if kind == 0 else frozenset("0123456789")
+    opening = own if kind != 3 else own | {"+", "("}
+    while start < end and text[start] not in opening:
+        start += 1
+    while end > start and (text[end - 1] not in own or text[end - 1] in "._%+-"):
+        end -= 1
+    least, most = max(0, start - 64), min(len(text), end + 64)
+    while start > least and text[start - 1] in own and start < end:
+        start -= 1
+    while end < most and text[end] in own and text[end] not in "._%+" and start < end:
+        end += 1
+    if kind == 3 and start < end:
+        while start > 0 and text[start - 1] in "(+":
+            start -= 1
+    if kind == 0 and start < end:
+        whole = _ADDRESS.search(text[start : start + LONGEST])
+        if whole and start + whole.start() < end:
+            start, end = start + whole.start(), start + whole.end()
+    return start, end
+
+
+_NUMBER_GAPS = (" ", "-", ".", "/", "  ", " - ", "\n", "_", "\u00a0")
+_ADDRESS_ATS = ("@", " @ ", "@ ", " @", "(at)", " (at) ", "[at]", " [at] ", "{at}", "\n@")
+_ADDRESS_DOTS = (".", ".", " . ", "(dot)", " (dot) ", "[dot]", "[.]", " dot ")
+_IP_DOTS = (" . ", ". ", "[.]", "(.)", " .", " dot ", "[dot]", "(dot)")
+
+
+def _draw(rng: np.random.Generator, n: int) -> str:
+    return "".join(map(str, rng.integers(0, 10, n).tolist()))
+
+
+def _pick(rng: np.random.Generator, values):
+    return values[int(rng.integers(len(values)))]
+
+
+def _checked(rng: np.random.Generator, n: int) -> str:
+    body = str(int(rng.integers(3, 7))) + _draw(rng, n - 2)
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def altered(kind: int, body: str, rng: np.random.Generator) -> str:
+    """The value, or one with other digits, in another spelling."""
+    if kind == 0:
+        local, _, domain = body.partition("@")
+        if rng.random() < 0.5:
+            letters = "abcdefghijklmnopqrstuvwxyz"
+            local = "".join(_pick(rng, letters) for _ in range(int(rng.integers(2, 9)))) + _pick(rng, ("", "", ".", "_", "-")) + _pick(rng, (_draw(rng, 2), _pick(rng, letters) * 2, "lee", "max"))
+            domain = "".join(_pick(rng, letters) for _ in range(int(rng.integers(3, 9)))) + "." + _pick(rng, ("com", "org", "net", "de", "fr", "es", "co.uk", "edu"))
+        return local + _pick(rng, _ADDRESS_ATS) + _pick(rng, _ADDRESS_DOTS).join(domain.split("."))
+    if kind == 1:
+        parts = body.split(".") if rng.random() < 0.4 else [str(int(x)) for x in rng.integers(0, 256, 4)]
+        return _pick(rng, _IP_DOTS).join(parts)
+    if kind == 2:
+        d = _digits(body) if rng.random() < 0.3 else _checked(rng, _pick(rng, (14, 15, 16, 16, 16, 19)))
+        sizes = (4, 6, 9) if len(d) in (14, 15) else (4,) * 5
+        ends = [0, *accumulate(sizes)]
+        return _pick(rng, _NUMBER_GAPS).join(d[x:y] for x, y in zip(ends, ends[1:]) if d[x:y])
+    d = _digits(body)
+    d = d[-10:] if rng.random() < 0.3 else str(int(rng.integers(2, 10))) + _draw(rng, 9)
+    gap, front = _pick(rng, _NUMBER_GAPS), _pick(rng, ("", "", "", "1", "00 1", "0", "+1", "0049", "+33"))
+    area = _pick(rng, ("{}", "({})", "({}) ")).format(d[:3])
+    return front + (gap if front and not front.endswith("0") else " " if front else "") + area + ("" if area.endswith(" ") else gap) + d[3:6] + gap + d[6:]
+
+
+def decoy(rng: np.random.Generator) -> str:
+    """Numbers that are no personal data."""
+    n = lambda k: str(int(rng.integers(1, 10))) + _draw(rng, k - 1)
+    two = lambda top: f"{int(rng.integers(1, top)):02d}"
+    year = str(int(rng.integers(1900, 2100)))
+    gap = _pick(rng, ("-", "/", "."))
+    day = gap.join((year, two(13), two(29))) if rng.random() < 0.5 else gap.join((two(29), two(13), year))
+    return _pick(rng, (
+        lambda: day, lambda: f"{day} {two(24)}:{two(60)}:{two(60)}", lambda: f"{day}T{two(24)}:{two(60)}", lambda: f"{year}-{int(year) + 1}",
+        lambda: f"{n(3)},{n(3)}.{n(2)}", lambda: f"{n(2)}.{n(1)} x {n(2)}.{n(1)}", lambda: f"v{n(1)}.{n(2)}.{n(1)}", lambda: n(int(rng.integers(2, 20))),
+        lambda: f"{n(3)} {n(3)} {n(3)}", lambda: f"{n(2)}, {n(3)}, {n(2)}, {n(4)}", lambda: f"{n(1)}. {n(2)}. {n(1)}.", lambda: f"#{n(7)}-{n(3)}",
+        lambda: f"{n(3)}-{n(1)}-{n(4)}-{n(4)}-{n(1)}", lambda: f"{n(5)} ({n(2)} %)", lambda: f"{n(4)} (at) {n(2)}", lambda: f"@{n(3)}", lambda: f"{n(2)} @ {n(2)}.{n(2)}",
+    ))()
 
 
 def window_starts(text: str) -> list[int]:
@@ -202,13 +306,61 @@ def training_rows(docs: DataFrame, *, text: str = "text", windows: int = WINDOWS
     return [*picked.items(), *plain.items()]
 
 
+def _spans_of(tags: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the marked spans of a window."""
+    out = []
+    for t in np.flatnonzero(tags % 2 == 1).tolist():
+        kind, e = (int(tags[t]) - 1) // 2, t + 1
+        while e < len(tags) and tags[e] == 2 * kind + 2:
+            e += 1
+        out.append((t, kind, e))
+    return out
+
+
+def _respelled(symbols: np.ndarray, tags: np.ndarray, rng: np.random.Generator, change) -> tuple[np.ndarray, np.ndarray] | None:
+    """The window with change(kind, body) in place of each span that lies in it whole, cut or filled with blanks to its length.
+
+    change gives (text, whether it is still marked).  None where no span lies in the window whole.
+    """
+    out_s, out_t, at, changed = [], [], 0, False
+    for s, kind, e in _spans_of(tags):
+        if s == 0 or e == WINDOW:
+            continue
+        body, marked = change(kind, bytes(symbols[s:e].tolist()).decode("ascii"))
+        own = encode(body)
+        mark = np.zeros(len(own), dtype=np.int64)
+        if marked:
+            mark[:], mark[0] = 2 * kind + 2, 2 * kind + 1
+        out_s += [symbols[at:s], own]
+        out_t += [tags[at:s], mark]
+        at, changed = e, True
+    if not changed:
+        return None
+    fill = np.full(WINDOW, 32, dtype=np.int64)
+    row = np.concatenate([*out_s, symbols[at:], fill])[:WINDOW]
+    return row, np.concatenate([*out_t, tags[at:], 0 * fill])[:WINDOW]
+
+
+def with_spellings(rows: list[tuple[bytes, bytes]], copies: int = COPIES, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, tags) of the rows, `copies` altered copies of each window with whole spans, and one with decoys for them."""
+    rng = np.random.default_rng(seed)
+    symbols, tags = ([np.frombuffer(r[c], dtype=np.uint8).astype(np.int64) for r in rows] for c in (0, 1))
+    more = []
+    for own, marks in zip(symbols, tags):
+        if marks.any():
+            more += [_respelled(own, marks, rng, lambda kind, body: (altered(kind, body, rng), True)) for _ in range(copies)]
+            more.append(_respelled(own, marks, rng, lambda kind, body: (decoy(rng), False)))
+    more = [m for m in more if m is not None]
+    return np.stack([*symbols, *[m[0] for m in more]]), np.stack([*tags, *[m[1] for m in more]])
+
+
 def fit(docs: DataFrame, *, text: str = "text", windows: int = WINDOWS) -> Tagger | None:
-    """Train on the fixed patterns' spans; None where no document holds one."""
+    """Train on the fixed patterns' spans and on other spellings of them; None where no document holds a span."""
     rows = training_rows(docs, text=text, windows=windows)
     if not rows:
         return None
     tagger = Tagger(len(KINDS))
-    tagger.train(*(np.stack([np.frombuffer(r[c], dtype=np.uint8) for r in rows]).astype(np.int64) for c in (0, 1)))
+    tagger.train(*with_spellings(rows))
     return tagger
 
 
@@ -277,11 +429,11 @@ def tag_texts(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]
             found[d] += [(kind, s + w, min(e + w, len(texts[d])), m) for kind, s, e, m in _tagged(tags[k], scores[k], trans) if s + w < len(texts[d])]
     out = []
     for d, t in enumerate(texts):
-        taken = _overlap_test(base[d])
-        added = [
-            (s, k, e) for s, k, e in reconcile(found[d])
-            if sound(k, t, s, e) and not taken(s, e)
-        ]
+        taken, added = _overlap_test(base[d]), []
+        for s, k, e in reconcile(found[d]):
+            s, e = settled(k, t, s, e)
+            if s < e and (not added or added[-1][2] <= s) and not taken(s, e) and sound(k, t, s, e):
+                added.append((s, k, e))
         out.append((base[d], added))
     return out
 
@@ -321,7 +473,8 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, text: str = "t
             column = batch.column(text)
             raw, offsets = text_bytes(column)
             seen = np.concatenate([[0], np.cumsum(_HAS_EVIDENCE[raw[offsets[0] : offsets[-1]]])])
-            likely = np.flatnonzero(seen[offsets[1:] - offsets[0]] > seen[offsets[:-1] - offsets[0]]).tolist()
+            spelled = pc.fill_null(pc.match_substring_regex(column, _SPELLED), False).to_numpy(zero_copy_only=False)
+            likely = np.flatnonzero((seen[offsets[1:] - offsets[0]] > seen[offsets[:-1] - offsets[0]]) | spelled).tolist()
             base: list[list] = [[] for _ in range(batch.num_rows)]
             added: list[list] = [[] for _ in range(batch.num_rows)]
             changed: dict[int, str] = {}

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from bindings import duck as D
 from bindings import inputs as I
 from bindings.registry import query
+from triagelake import brand_voice as B
 from triagelake import fixed_values as V
+from triagelake.functions.text import clean_for_query, strip_negated
 from triagelake.operators import intent_model as M
 from triagelake.operators import labelling, similar, vectors
+from triagelake.operators.replies import with_cues
 from triagelake.plans import jobs
 from triagelake.session import cut_lineage, scratch_path, shared_folder
 from triagelake.sources import snapshots
@@ -181,3 +184,89 @@ def scored_messages(spark, d):
         "msg_id", "intent", "intent_confidence", "decision", "escalation_category", "reason", "reply", "top_similarity",
         F.size("evidence").alias("n_evidence"),
     )
+
+
+# --- replies and the keyword baseline on retrieved cases -------------------------------------
+
+_BOX_INDEX = [
+    ("ktf", D.terms("pairs", "conversation_id", "customer_text")),
+    ("kvoc", D.vocab("ktf", "SELECT count(*) FROM pairs", None)),
+    ("kpost", D.vectors("ktf", "kvoc")),
+]
+
+
+def _box_hits(source: str, text: str, k: int):
+    return [
+        *_BOX_INDEX,
+        ("btf", D.terms(source, "msg_id", text)),
+        ("bv", D.vectors("btf", "kvoc")),
+        ("found_cases", f"""SELECT query_id, rank, doc_id, round(s, 4) AS similarity FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank FROM (
+              SELECT q.id AS query_id, p.id AS doc_id, round(sum(q.w * p.w), 10) AS s FROM bv q JOIN kpost p ON q.term = p.term GROUP BY ALL) WHERE s > 0)
+            WHERE rank <= {k}"""),
+    ]
+
+
+def _case_base(spark, d):
+    return I.pairs(spark, d).select("conversation_id", "customer_text", "support_reply")
+
+
+def _case_index(spark, d):
+    return similar.build_index(_case_base(spark, d), "conversation_id", "customer_text", I.STOP_WORDS, max_terms=None)
+
+
+_BEST_OTHER = ("best", f"""SELECT m.msg_id, coalesce(h.similarity, 0.0) AS similarity, coalesce(h.doc_id, '-') AS case_id,
+    CASE WHEN h.similarity >= {V.EVIDENCE_GATE} THEN {D.mask('p.support_reply')} ELSE '' END AS past FROM cleaned m
+    LEFT JOIN (SELECT query_id, min_by(doc_id, rank) AS doc_id, min_by(similarity, rank) AS similarity FROM found_cases WHERE doc_id <> query_id GROUP BY query_id) h
+      ON h.query_id = m.msg_id LEFT JOIN pairs p ON p.conversation_id = h.doc_id""")
+_CLEANED = ("cleaned", f"SELECT msg_id, {D.clean_query('text')} AS clean FROM inbox")
+
+
+@query("reply_cues_retrieved", D.with_("inbox", "pairs", extra=[_CLEANED, *_box_hits("cleaned", "clean", 2), _BEST_OTHER]) + f"""SELECT msg_id, similarity, case_id,
+    {D.signature('past')} AS cue_signature, coalesce({D.carrier('past')}, '-') AS cue_carrier, {D.rx('past', V.NEIGHBOUR_CHECK)} AS cue_neighbour FROM best""")
+def reply_cues_retrieved(spark, d):
+    """Cues of the best past case that the index finds for each message, its own case left out."""
+    base = I.inbox(spark, d).select("msg_id", clean_for_query(F.col("text")).alias("clean"))
+    index = _case_index(spark, d)
+    hits = similar.top_k(index.vectors(base, "msg_id", "clean", I.STOP_WORDS), index, 2).where(F.col("doc_id") != F.col("query_id"))
+    found = similar.evidence(similar.with_case_texts(hits, _case_base(spark, d), "conversation_id", "customer_text", "support_reply"))
+    best = base.join(found.withColumnRenamed("query_id", "msg_id"), "msg_id", "left")
+    case = F.get(F.col("evidence"), F.lit(0))["conversation_id"]
+    out = with_cues(best.withColumn("similarity", F.coalesce("similarity", F.lit(0.0))).withColumn("case_id", F.coalesce(case, F.lit("-"))))
+    return out.select("msg_id", "similarity", "case_id", "cue_signature", F.coalesce("cue_carrier", F.lit("-")).alias("cue_carrier"), "cue_neighbour")
+
+
+@query("keyword_baseline_retrieved", D.with_("inbox", "pairs", extra=_box_hits("inbox", "text", 1)) + f"""SELECT m.msg_id,
+    CASE WHEN {D.rx('m.text', V.KEYWORD_ESCALATE)} THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS decision,
+    CASE WHEN {D.rx('m.text', V.KEYWORD_ESCALATE)} THEN 'ACCOUNT_SPECIFIC_PII_REQUIRED' ELSE 'NONE' END AS escalation_category,
+    CASE WHEN h.doc_id IS NULL THEN {D.q(B.KEYWORD_DEFAULT_REPLY)} ELSE {D.mask('p.support_reply')} END AS reply, true AS known_intent
+    FROM inbox m LEFT JOIN found_cases h ON h.query_id = m.msg_id LEFT JOIN pairs p ON p.conversation_id = h.doc_id""")
+def keyword_baseline_retrieved(spark, d):
+    """The keyword baseline with its trained classifier and the index; SQL follows all but the classifier's choice (`intent_model`)."""
+    model, _ = uncalibrated_model(spark, d)
+    desk = jobs.Desk(model, _case_index(spark, d), _case_base(spark, d), I.STOP_WORDS)
+    out = jobs.keyword_baseline(I.inbox(spark, d), desk, model, "msg_id", "text")
+    known = F.col("intent").isin(model.classes) & F.col("intent_confidence").between(0, 1)
+    return out.select("msg_id", "decision", "escalation_category", "reply", known.alias("known_intent"))
+
+
+@query("intent_hybrid_model", D.with_("found") + f"""SELECT msg_id, array_to_string(detected, ',') AS detected,
+    CASE WHEN list_contains(detected, {D.q(V.SECURITY_INTENT)}) THEN {D.q(V.SECURITY_INTENT)} WHEN len(detected) = 1 THEN detected[1] ELSE '-' END AS forced_intent,
+    true AS agrees FROM found""")
+def intent_hybrid_model(spark, d):
+    """Rules blended with the calibrated classifier: what rules force alone, and whether each other choice is the posterior's best."""
+    model = calibrated_model(spark, d)
+    base = I.inbox(spark, d).select("msg_id", clean_for_query(F.col("text")).alias("clean"))
+    odds = model.posteriors(base.withColumn("ml", strip_negated(F.col("clean"))), "msg_id", "ml").select("msg_id", "posterior")
+    both = model.classify(base, "msg_id", "clean").join(odds, "msg_id")
+    names = F.array(*[F.lit(c) for c in model.classes])
+    by_label = F.map_from_arrays(names, F.col("posterior"))
+    security = F.array_contains("detected", V.SECURITY_INTENT)
+    rivals = F.when(F.size("detected") == 0, names).when(security, F.array(F.lit(V.SECURITY_INTENT))).otherwise(F.col("detected"))
+    best = F.array_max(F.transform(rivals, lambda c: F.coalesce(F.try_element_at(by_label, c), F.lit(0.0))))
+    mine = F.coalesce(F.try_element_at(by_label, F.col("intent")), F.lit(0.0))
+    # a lone label that the model has not learnt is reported with the model's top probability
+    stated = F.when(F.array_contains(names, F.col("intent")), mine).otherwise(F.array_max("posterior"))
+    agrees = F.array_contains(rivals, F.col("intent")) & (mine == best) & (F.abs(F.col("intent_confidence") - stated) <= 0.000051)
+    forced = F.when(security | (F.size("detected") == 1), F.col("intent")).otherwise("-")
+    return both.select("msg_id", F.array_join("detected", ",").alias("detected"), forced.alias("forced_intent"), agrees.alias("agrees"))

@@ -49,20 +49,18 @@ def kb_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("customer_text", F.coalesce("customer_text", F.lit("")))
 
 
+def _file_stream(spark: SparkSession, schema, folder: str, pattern: str, files_per_trigger: int) -> DataFrame:
+    """The files of a folder as a stream.  What the pattern names may also be a folder, as Spark writes a table: then its files are read.
+
+    A pattern of names alone (``pathGlobFilter``) is held against the part files of such a table and drops them all.
+    """
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder.rstrip('/')}/{{{pattern}}}")
+
+
 def turn_stream(spark: SparkSession, folder: str, pattern: str = "conversations.parquet", files_per_trigger: int = 1) -> DataFrame:
     """One-row-per-turn parquet files as a stream."""
-    return (
-        spark.readStream.schema(S.TURN_ROWS)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+    return _file_stream(spark, S.TURN_ROWS, folder, pattern, files_per_trigger)
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(S.EVENTS)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+    return _file_stream(spark, S.EVENTS, folder, pattern, files_per_trigger)

@@ -49,18 +49,24 @@ def kb_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("customer_text", F.coalesce("customer_text", F.lit("")))
 
 
-def _file_stream(spark: SparkSession, schema, folder: str, pattern: str, files_per_trigger: int) -> DataFrame:
+def _file_stream(spark: SparkSession, schema, folder: str, pattern: str, files_per_trigger: int | None) -> DataFrame:
     """The files of a folder as a stream.  What the pattern names may also be a folder, as Spark writes a table: then its files are read.
 
     A pattern of names alone (``pathGlobFilter``) is held against the part files of such a table and drops them all.
+    Files come in the order of their times, which says nothing about their rows.  So by default all files that wait make one
+    trigger: turns of a session that lie in several files are ordered together, and no watermark passes between files of one
+    table.  A live stream bounds its triggers by ``files_per_trigger``.
     """
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder.rstrip('/')}/{{{pattern}}}")
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{folder.rstrip('/')}/{{{pattern}}}")
 
 
-def turn_stream(spark: SparkSession, folder: str, pattern: str = "conversations.parquet", files_per_trigger: int = 1) -> DataFrame:
+def turn_stream(spark: SparkSession, folder: str, pattern: str = "conversations.parquet", files_per_trigger: int | None = None) -> DataFrame:
     """One-row-per-turn parquet files as a stream."""
     return _file_stream(spark, S.TURN_ROWS, folder, pattern, files_per_trigger)
 
 
-def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int = 1) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_trigger: int | None = None) -> DataFrame:
     return _file_stream(spark, S.EVENTS, folder, pattern, files_per_trigger)

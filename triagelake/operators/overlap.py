@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from triagelake.functions.text import whitespace_tokens
+from triagelake.sources.readers import in_small_parts
 
 
 def _grams(tokens: Column, n: int) -> Column:
@@ -33,8 +34,7 @@ def ngram_precision(df: DataFrame, key: str, hypothesis: str, reference: str, n:
     )
     # tokens are a column of their own, so that the n-gram lambda only indexes an array
     tokens = (
-        df.select(key, hypothesis, reference)
-        .repartition(key)
+        in_small_parts(df.select(key, hypothesis, reference), key)
         .select(key, F.explode(sides).alias("s"))
         .select(key, "s.h", "s.r", whitespace_tokens(F.col("s.t")).alias("w"))
     )

@@ -2,7 +2,7 @@
 
 ``RulePack`` compiles a short list into one expression.  A table of many thousand rules is joined instead.  Each pattern
 yields a clause: pieces of literal text, one of which stands in every match.  Each piece is looked up by its rarest
-trigram among the texts, so a rule meets only texts that hold this trigram, and only these are tested.  Rules without
+gram among the texts (six characters, three in shorter pieces), so a rule meets only texts that hold it, and only these are tested.  Rules without
 such a clause (``a+b*``, ``\\d+``) are tested on all texts, a block of rules at a time.
 """
 
@@ -20,6 +20,8 @@ from triagelake.functions.rules import matches, pattern
 from triagelake.session import cut_lineage
 
 GRAM = 3
+#: Pieces of so many characters are looked up by grams of this length, which few texts share by chance.
+LONG_GRAM = 6
 BLOCK = 200
 # spellings that Java and Python read differently, or flags that change what a literal means
 _UNSURE = re.compile(r"&&|\[[^\]]*\[|\\[QEGhHRXNcekpPxuU0-9]|\(\?(?![:=!>]|<[=!])")
@@ -69,11 +71,15 @@ def _folded(text: Column) -> Column:
     return F.lower(F.translate(text, "\u0130\u0131\u017f\u212a", "iisk"))
 
 
-def _grams(text: Column) -> Column:
-    """The different trigrams of a text; none in shorter ones."""
-    places = F.sequence(F.lit(1), F.length(text) - (GRAM - 1))
-    found = F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
-    return F.when(F.length(text) >= GRAM, found).otherwise(F.array().cast("array<string>"))
+def _grams(text: Column, n: int = GRAM) -> Column:
+    """The different n-grams of a text; none in shorter ones."""
+    places = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    found = F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))
+    return F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<string>"))
+
+
+def _piece_grams(piece: Column) -> Column:
+    return F.when(F.length(piece) >= LONG_GRAM, _grams(piece, LONG_GRAM)).otherwise(_grams(piece))
 
 
 def _clauses(rules: DataFrame) -> DataFrame:
@@ -114,14 +120,16 @@ def match_rules(
     given = rules.select(F.col(rule_col).alias("rule"), F.col(pattern_col).alias("pattern")).where("rule IS NOT NULL AND pattern IS NOT NULL")
     table = cut_lineage(_clauses(given.distinct()), "rule-clauses")
     pieces = table.where("pieces IS NOT NULL").select("rule", "pattern", F.explode("pieces").alias("piece"))
-    spelled = pieces.select("piece").distinct().select("piece", F.explode(_grams(F.col("piece"))).alias("gram"))
-    in_texts = texts.select("id", F.explode(_grams(_folded(F.col("text")))).alias("gram"))
+    spelled = pieces.select("piece").distinct().select("piece", F.explode(_piece_grams(F.col("piece"))).alias("gram"))
+    folded = texts.select("id", _folded(F.col("text")).alias("t"))
+    in_texts = folded.select("id", F.explode(F.concat(_grams(F.col("t")), _grams(F.col("t"), LONG_GRAM))).alias("gram"))
     held = cut_lineage(in_texts.join(spelled.select("gram").distinct(), "gram", "left_semi"), "text-grams")
     counts = held.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # a piece with a trigram that no text holds occurs nowhere
+    # a piece with a gram that no text holds occurs nowhere
     rarest = spelled.join(counts, "gram", "left").groupBy("piece").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r"))
     chosen = pieces.join(rarest.where("r.n > 0").select("piece", "r.gram"), "piece").select("rule", "pattern", "gram").distinct()
-    candidates = held.join(chosen, "gram").select("id", "rule", "pattern").distinct()
+    # dealt out by id once: repeats go, and texts join, where the candidates then lie
+    candidates = held.join(chosen, "gram").select("id", "rule", "pattern").repartition("id").distinct()
     flagged = F.concat(F.lit(pattern("")), F.col("pattern"))
     found = candidates.join(texts, "id").where(F.rlike("text", flagged)).select("id", "rule")
     for part in _tested_in_blocks(texts, table.where("pieces IS NULL").select("rule", "pattern"), block):

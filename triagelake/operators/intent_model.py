@@ -55,9 +55,13 @@ class IntentModel:
         return (e / e.sum(axis=1, keepdims=True)).mean(axis=0).tolist()
 
     def _known_terms(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """(id, term, coef, _w): the terms of each text that the model knows."""
+        """(id, term, coef, _w): the terms of each text that the model knows.
+
+        The vocabulary is bounded (its coefficients were fitted on the driver), so it is sent to the terms, which stay with their
+        texts.  Met by a shuffle, a message would leave sums of all its products in each partition of the terms.
+        """
         counts = term_counts(df, id_col, text_col, self.stop_words)
-        return counts.join(self.terms, "term").withColumn("_w", raw_weight(self.sublinear))
+        return counts.join(F.broadcast(self.terms), "term").withColumn("_w", raw_weight(self.sublinear))
 
     def _margins(self, hit: DataFrame) -> DataFrame:
         """(id, _norm, _m0, ...): the length of each vector and its products with all coefficients, fold-major."""
@@ -89,7 +93,8 @@ class IntentModel:
                 for c in range(k)
             ]
         )
-        scored = scored.select(F.col("id").alias(id_col), mean.alias("posterior"))
+        # a posterior is small: dealt out anew, it does not force its many small parts on the texts and all that meets them later
+        scored = scored.select(F.col("id").alias(id_col), mean.alias("posterior")).repartition(id_col)
         fallback = F.array(*[F.lit(float(p)) for p in self.empty_posterior()])
         return df.join(scored, id_col, "left").withColumn("posterior", F.coalesce("posterior", fallback))
 

@@ -73,9 +73,10 @@ class Desk:
 
 def score_messages(df: DataFrame, desk: Desk, id_col: str = "case_id", text_col: str = "text", k: int = 2) -> DataFrame:
     """clean -> classify -> similar cases -> triage -> draft -> sanitize, for batches and micro-batches."""
-    base = df.withColumn("_clean", clean_for_query(F.col(text_col)))
+    # written once: the classifier, the search and the result read it, and else each would deal the messages out anew
+    base = cut_lineage(df, "messages").withColumn("_clean", clean_for_query(F.col(text_col)))
     found = desk.model.classify(base, id_col, "_clean")
-    queries = desk.index.vectors(base, id_col, "_clean", desk.index_stop_words)
+    queries = desk.index.queries(base, id_col, "_clean", desk.index_stop_words)
     hits = with_case_texts(top_k(queries, desk.index, k), desk.kb, "conversation_id", "customer_text", "support_reply")
     best = evidence(hits).withColumnRenamed("query_id", id_col)
     decided = triage.with_triage(found.join(best, id_col, "left"), "_clean")
@@ -89,7 +90,7 @@ def score_messages(df: DataFrame, desk: Desk, id_col: str = "case_id", text_col:
 def keyword_baseline(df: DataFrame, desk: Desk, model: IntentModel, id_col="case_id", text_col="text") -> DataFrame:
     """Uncalibrated model, one keyword pattern, and the best past reply as it is."""
     scored = with_top_class(model.posteriors(df, id_col, text_col), model.classes)
-    queries = desk.index.vectors(df, id_col, text_col, desk.index_stop_words)
+    queries = desk.index.queries(df, id_col, text_col, desk.index_stop_words)
     hits = with_case_texts(top_k(queries, desk.index, 1), desk.kb, "conversation_id", "customer_text", "support_reply")
     top = hits.select(F.col("query_id").alias(id_col), F.col("support_reply").alias("top_reply"))
     out = triage.keyword_baseline(scored.join(top, id_col, "left"), text_col)
